@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with its machine, so there the
     setting is required.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
