@@ -87,11 +87,9 @@ def highlight(column: str) -> Evaluate:
 
 def divergence(star: Star, by: list[str], context: Context) -> DataFrame:
     """Top 5 median minus market median, each over its own fact."""
-    ours = shapes.averages(_grouped(star, "expectations", by, context), by, {"_market": "mediana"})
-    theirs = shapes.averages(
-        _grouped(star, "comparison", by, context), by, {"_top5": "mediana_top5"})
-    return shapes.difference(theirs, ours, by, "_top5", "_market", "divergence").select(
-        *by, "divergence")
+    return shapes.mean_difference(
+        _grouped(star, "comparison", by, context), "mediana_top5",
+        _grouped(star, "expectations", by, context), "mediana", by, "divergence")
 
 
 def last_survey_date(star: Star, by: list[str], context: Context) -> DataFrame:

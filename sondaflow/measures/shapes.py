@@ -7,6 +7,8 @@ are already reduced to one row per date.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sondaflow.functions.numbers import blank_minus, fixed_sum, is_filled, mean, mean_of, single_value
@@ -24,20 +26,18 @@ def single_values(rows: DataFrame, by: list[str], values: dict[str, str]) -> Dat
         *[single_value(F.col(c)).alias(name) for name, c in values.items()])
 
 
-def difference(left: DataFrame, right: DataFrame, by: list[str],
-               minuend: str, subtrahend: str, name: str) -> DataFrame:
-    """Difference of measures of two facts. Both are aggregated first, so the join
-    is one row to one row and never multiplies fact rows. Group keys may be null."""
-    if not by:
-        totals = left.select(F.col(minuend), F.lit(None).cast("double").alias(subtrahend)).unionByName(
-            right.select(F.lit(None).cast("double").alias(minuend), F.col(subtrahend)))
-        joined = totals.agg(F.max(minuend).alias(minuend), F.max(subtrahend).alias(subtrahend))
-    else:
-        other = right.select(*[F.col(k).alias(f"_{k}") for k in by], subtrahend)
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
-        joined = left.join(other, same, "full_outer").select(
-            *[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in by], minuend, subtrahend)
-    return joined.withColumn(name, blank_minus(F.col(minuend), F.col(subtrahend)))
+def mean_difference(left: DataFrame, minuend: str, right: DataFrame, subtrahend: str,
+                    by: list[str], name: str) -> DataFrame:
+    """Difference of two averages, each over its own fact.
+
+    The facts are stacked and averaged in one aggregate: a single shuffle, no
+    join that could multiply rows, and null group keys match by themselves.
+    """
+    nothing = F.lit(None).cast("double")
+    stacked = left.select(*by, F.col(minuend).alias("_left"), nothing.alias("_right")).unionByName(
+        right.select(*by, nothing.alias("_left"), F.col(subtrahend).alias("_right")))
+    means = averages(stacked, by, {"_left": "_left", "_right": "_right"})
+    return means.select(*by, blank_minus(F.col("_left"), F.col("_right")).alias(name))
 
 
 # ---------------------------------------------------------------- series
@@ -67,19 +67,23 @@ def with_last_points(daily: DataFrame, series: list[str], points: dict[str, str]
     return daily.withColumns({name: last_point(series, v) for name, v in points.items()})
 
 
-def with_highlight(daily: DataFrame, series: list[str], value: str, start: str,
-                   history: str, recent: str, days: int = 30) -> DataFrame:
+def with_highlight(daily: DataFrame, series: list[str], value: str, start: str, history: str,
+                   recent: str, point: str | None = None, days: int = 30) -> DataFrame:
     """Split a series for its chart. The recent part starts at the latest date with a value
-    at least ``days`` before the last one, else at the first; that date is in both parts."""
+    at least ``days`` before the last one, else at the first; that date is in both parts.
+    ``point`` adds the value on the last date, from the window that is there anyway."""
     window = _series(series)
     filled = F.when(F.col(value).isNotNull(), F.col("data"))
     cut = daily.withColumn("_last", F.max(filled).over(window))
     before = F.when(filled <= F.date_sub("_last", days), filled)
     begun = cut.withColumn(start, F.coalesce(F.max(before).over(window), F.min(filled).over(window)))
-    return begun.withColumns({
+    parts = {
         history: F.when(F.col("data") <= F.col(start), F.col(value)),
         recent: F.when(F.col("data") >= F.col(start), F.col(value)),
-    }).drop("_last")
+    }
+    if point:
+        parts[point] = F.when(F.col("data") == F.col("_last"), F.col(value))
+    return begun.withColumns(parts).drop("_last")
 
 
 def shown(daily: DataFrame, measures: list[str]) -> DataFrame:
@@ -103,12 +107,13 @@ def as_of_own_last_date(rows: DataFrame, by: list[str], values: dict[str, str],
         F.max(F.when(eligible, 1)).alias("_eligible"),
         *[fixed_sum(F.col(c)).alias(f"_sum_{c}") for c in columns],
         *[F.count(c).alias(f"_count_{c}") for c in columns])
-    totals = F.struct(*[F.col(f"_{part}_{c}") for c in columns for part in ("sum", "count")])
+    # Dates are unique within a group here, and each part alone fits a hash aggregate.
+    parts = [f"_{part}_{c}" for part in ("sum", "count") for c in columns]
     latest = reduced.filter("_eligible = 1").groupBy(*by).agg(
-        F.max("data").alias("data"), F.max_by(totals, F.col("data")).alias("_at"))
+        F.max("data").alias("data"), *[F.max_by(p, "data").alias(p) for p in parts])
     return latest.select(
         *by, "data",
-        *[mean_of(F.col(f"_at._sum_{c}"), F.col(f"_at._count_{c}")).alias(name)
+        *[mean_of(F.col(f"_sum_{c}"), F.col(f"_count_{c}")).alias(name)
           for name, c in values.items()])
 
 
@@ -117,10 +122,17 @@ def filled_last_date(rows: DataFrame, by: list[str], value: str, name: str) -> D
     return as_of_own_last_date(rows, by, {name: value}, is_filled(F.col(value)))
 
 
+def last_day_of(rows: DataFrame) -> date | None:
+    """The last date, read now: one maximum over one column, one value to the driver."""
+    return rows.agg(F.max("data").alias("day")).first().day
+
+
 def on_last_date_of(rows: DataFrame, whole: DataFrame) -> DataFrame:
     """Rows on the last date of ``whole`` (a wider selection of the same fact).
 
-    The date is a scalar subquery: one maximum, then an ordinary filter that the
-    scan of the other side can use.
+    The date is looked up first and put in as a constant. A constant reaches the
+    file scan, which then skips all row groups and pages of other days; a join
+    or a subquery would read the whole fact.
     """
-    return rows.filter(F.col("data") == whole.agg(F.max("data")).scalar())
+    day = last_day_of(whole)
+    return rows.filter(F.lit(False) if day is None else F.col("data") == F.lit(day))

@@ -38,9 +38,8 @@ def overview_charts(star: Star, as_of: date, indicators: list[str] | None = None
         (F.col("ano_referencia") == year) & (F.col("base_calculo") == base)
         & trailing_months(F.col("data"), as_of, months))
     daily = shapes.by_date(rows, ["indicador"], {"median_market": "mediana"})
-    split = shapes.with_highlight(daily, ["indicador"], "median_market",
-                                  "highlight_start", "median_history", "median_recent")
-    chart = shapes.with_last_points(split, ["indicador"], {"last_point": "median_market"})
+    chart = shapes.with_highlight(daily, ["indicador"], "median_market", "highlight_start",
+                                  "median_history", "median_recent", "last_point")
     value = F.col("last_point")
     text = F.when(F.col("indicador") == CURRENCY, currency_label(value)).otherwise(percent_label(value))
     return shapes.shown(chart, ["last_point", "median_history", "median_recent"]).select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 
@@ -311,9 +312,8 @@ def highlight_news(spark, folder):
 
 def _highlighted(fact: DataFrame, series: list[str]) -> DataFrame:
     daily = shapes.by_date(fact, series, {"median_market": "mediana"})
-    split = shapes.with_highlight(daily, series, "median_market",
-                                  "highlight_start", "median_history", "median_recent")
-    chart = shapes.with_last_points(split, series, {"last_point": "median_market"})
+    chart = shapes.with_highlight(daily, series, "median_market", "highlight_start",
+                                  "median_history", "median_recent", "last_point")
     return chart.withColumns({"last_percent_label": percent_label(F.col("last_point")),
                               "last_currency_label": currency_label(F.col("last_point"))})
 
@@ -473,9 +473,14 @@ def window_counts(spark, folder):
         "first_day", "last_day", F.coalesce("n", F.lit(0)).alias("n_lines"))
 
 
-def _landed(spark: SparkSession, records: DataFrame) -> dict[str, str]:
-    path = scratch_path(spark, "landed")
-    return {"path": landing.land(landing.as_json(records.drop(BATCH, INGESTED)), path)}
+def _landed(spark: SparkSession, folder: str, raw: dict[str, Query]) -> dict[str, dict[str, str]]:
+    """The records of each raw table as JSON files; reader options by table."""
+    def write(plan: Query) -> dict[str, str]:
+        records = landing.as_json(plan(spark, folder).drop(BATCH, INGESTED))
+        return {"path": landing.land(records, scratch_path(spark, "landed"))}
+
+    with ThreadPoolExecutor(len(raw)) as pool:
+        return dict(zip(raw, pool.map(write, raw.values())))
 
 
 @query
@@ -484,8 +489,8 @@ def load_audit(spark, folder):
     raw = {catalog.SURVEY: proxies.news, catalog.TOP5: proxies.news_panel,
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
     allowed = {catalog.INFLATION: 10_000}
-    specs = [replace(_load_spec(t), options=_landed(spark, plan(spark, folder)),
-                     max_age_days=allowed.get(t, 30)) for t, plan in raw.items()]
+    specs = [replace(_load_spec(t), options=options, max_age_days=allowed.get(t, 30))
+             for t, options in _landed(spark, folder, raw).items()]
     batch = run.ingest(_sink(spark, "loads"), specs, NEWS_AS_OF)
     return batch.frame(spark, run.LOAD_AUDIT_SCHEMA).select(
         "tabela", "status", "registros", "colunas", "data_max")
@@ -497,8 +502,8 @@ def curation_audit(spark, folder):
     sink = _sink(spark, "curations")
     raw = {catalog.SURVEY: proxies.flawed_news, catalog.TOP5: proxies.panel,
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
-    for table, plan in raw.items():
-        sink.replace(plan(spark, folder), catalog.raw_table(table))
+    with ThreadPoolExecutor(len(raw)) as pool:
+        list(pool.map(lambda t: sink.replace(raw[t](spark, folder), catalog.raw_table(t)), raw))
     batch = run.curate_all(sink, list(catalog.CURATIONS))
     return batch.frame(spark, run.CURATION_AUDIT_SCHEMA).select(
         "tabela", "status", "registros_lidos", "registros_gravados", "duplicatas_removidas")
@@ -509,9 +514,9 @@ def refreshed_tables(spark, folder):
     """Load, curate, model and test in one run; rows of each published fact."""
     raw = {catalog.SURVEY: proxies.market, catalog.TOP5: proxies.panel,
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
-    sources = [replace(_load_spec(t), options=_landed(spark, plan(spark, folder)),
-                       filter="tipoCalculo = 'C'" if t == catalog.TOP5 else None,
-                       max_age_days=365) for t, plan in raw.items()]
+    sources = [replace(_load_spec(t), options=options, max_age_days=365,
+                       filter="tipoCalculo = 'C'" if t == catalog.TOP5 else None)
+               for t, options in _landed(spark, folder, raw).items()]
     tables = run.refresh(_sink(spark, "refreshed"), sources, list(catalog.CURATIONS), LINES_AS_OF)
     counts = [tables[name].select(F.lit(name).alias("table_name")).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_rows"))
