@@ -24,25 +24,25 @@ def curated_table(table: str) -> str:
 
 SOURCES = (
     SourceSpec(
-        target=raw_table(SURVEY), reader="json", tag="ExpectativasMercadoAnuais",
+        target=raw_table(SURVEY), reader="pages", tag="ExpectativasMercadoAnuais",
         description="annual expectations, whole market",
         filter="Indicador IN ('IPCA', 'Selic', 'Câmbio', 'PIB Total')",
         keys=("Data", "Indicador", "IndicadorDetalhe", "DataReferencia", "baseCalculo"),
         date_column="Data", date_format="yyyy-MM-dd"),
     SourceSpec(
-        target=raw_table(TOP5), reader="json", tag="ExpectativasMercadoTop5Anuais",
+        target=raw_table(TOP5), reader="pages", tag="ExpectativasMercadoTop5Anuais",
         description="annual expectations, most accurate five institutions",
         filter="tipoCalculo = 'C' AND Indicador IN ('IPCA', 'Selic', 'Câmbio')",
         keys=("Data", "Indicador", "DataReferencia", "tipoCalculo"),
         date_column="Data", date_format="yyyy-MM-dd"),
     SourceSpec(
-        target=raw_table(INFLATION), reader="json", tag="ExpectativasMercadoInflacao12Meses",
+        target=raw_table(INFLATION), reader="pages", tag="ExpectativasMercadoInflacao12Meses",
         description="smoothed 12-month inflation expectation",
         filter="Indicador = 'IPCA' AND Suavizada = 'S'",
         keys=("Data", "Indicador", "Suavizada", "baseCalculo"),
         date_column="Data", date_format="yyyy-MM-dd"),
     SourceSpec(
-        target=raw_table(RATE), reader="json", tag="sgs.432",
+        target=raw_table(RATE), reader="windows", tag="sgs.432",
         description="daily policy rate target",
         keys=("data",), date_column="data", date_format="dd/MM/yyyy",
         options={"series": "432", "first_day": "1999-06-04"}),

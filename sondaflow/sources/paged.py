@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -50,6 +51,12 @@ class _Window(InputPartition):
         self.first, self.last = first, last
 
 
+def _batch(records: list[dict]) -> pa.RecordBatch:
+    """One response as one Arrow batch of JSON texts."""
+    texts = [json.dumps(r, ensure_ascii=False) for r in records]
+    return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+
+
 class _PageReader(DataSourceReader):
     """Reader k of n takes pages k, k+n, k+2n, ... and stops at its first short page.
 
@@ -59,7 +66,7 @@ class _PageReader(DataSourceReader):
 
     def __init__(self, options: dict, fetch: Callable[[PageRequest], list[dict]]):
         self.size = int(options.get("page_size", PAGE_SIZE))
-        self.readers = int(options.get("readers", 8))
+        self.readers = int(options["readers"])
         self.endpoint = options.get("endpoint", "")
         self.order_by = tuple(k for k in options.get("order_by", "").split(",") if k)
         self.filter = options.get("filter", "")
@@ -68,13 +75,12 @@ class _PageReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_Share(k) for k in range(self.readers)]
 
-    def read(self, partition: _Share) -> Iterator[tuple]:
+    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
         page = partition.index
         while True:
             records = self.fetch(PageRequest(
                 self.endpoint, self.order_by, self.filter, page * self.size, self.size))
-            for record in records:
-                yield (json.dumps(record, ensure_ascii=False),)
+            yield _batch(records)
             if len(records) < self.size:
                 return
             page += self.readers
@@ -91,11 +97,10 @@ class _WindowReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_Window(first, last) for first, last in self.windows]
 
-    def read(self, partition: _Window) -> Iterator[tuple]:
+    def read(self, partition: _Window) -> Iterator[pa.RecordBatch]:
         request = WindowRequest(
             self.series, date.fromisoformat(partition.first), date.fromisoformat(partition.last))
-        for record in self.fetch(request):
-            yield (json.dumps(record, ensure_ascii=False),)
+        yield _batch(self.fetch(request))
 
 
 def _register(spark: SparkSession, reader: type, fetch: Callable) -> str:
@@ -119,8 +124,9 @@ def _register(spark: SparkSession, reader: type, fetch: Callable) -> str:
 
 def read_pages(spark: SparkSession, fetch: Callable[[PageRequest], list[dict]], *, endpoint: str,
                order_by: tuple[str, ...], filter: str = "", page_size: int = PAGE_SIZE,
-               readers: int = 8) -> DataFrame:
-    """JSON records of a paged source, one per row in ``value``."""
+               readers: int | None = None) -> DataFrame:
+    """JSON records of a paged source, one per row in ``value``; by default one reader per core."""
+    readers = readers or spark.sparkContext.defaultParallelism
     label = _register(spark, _PageReader, fetch)
     options = {"endpoint": endpoint, "order_by": ",".join(order_by), "filter": filter,
                "page_size": str(page_size), "readers": str(readers)}

@@ -489,10 +489,12 @@ def load_audit(spark, folder):
     raw = {catalog.SURVEY: proxies.news, catalog.TOP5: proxies.news_panel,
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
     allowed = {catalog.INFLATION: 10_000}
-    specs = [replace(_load_spec(t), options=options, max_age_days=allowed.get(t, 30))
+    specs = [replace(_load_spec(t), reader="json", options=options,
+                     max_age_days=allowed.get(t, 30))
              for t, options in _landed(spark, folder, raw).items()]
-    batch = run.ingest(_sink(spark, "loads"), specs, NEWS_AS_OF)
-    return batch.frame(spark, run.LOAD_AUDIT_SCHEMA).select(
+    sink = _sink(spark, "loads")
+    run.ingest(sink, specs, NEWS_AS_OF)
+    return sink.read(run.LOAD_AUDIT).select(
         "tabela", "status", "registros", "colunas", "data_max")
 
 
@@ -504,8 +506,8 @@ def curation_audit(spark, folder):
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
     with ThreadPoolExecutor(len(raw)) as pool:
         list(pool.map(lambda t: sink.replace(raw[t](spark, folder), catalog.raw_table(t)), raw))
-    batch = run.curate_all(sink, list(catalog.CURATIONS))
-    return batch.frame(spark, run.CURATION_AUDIT_SCHEMA).select(
+    run.curate_all(sink, list(catalog.CURATIONS))
+    return sink.read(run.CURATION_AUDIT).select(
         "tabela", "status", "registros_lidos", "registros_gravados", "duplicatas_removidas")
 
 
@@ -514,7 +516,7 @@ def refreshed_tables(spark, folder):
     """Load, curate, model and test in one run; rows of each published fact."""
     raw = {catalog.SURVEY: proxies.market, catalog.TOP5: proxies.panel,
            catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
-    sources = [replace(_load_spec(t), options=options, max_age_days=365,
+    sources = [replace(_load_spec(t), reader="json", options=options, max_age_days=365,
                        filter="tipoCalculo = 'C'" if t == catalog.TOP5 else None)
                for t, options in _landed(spark, folder, raw).items()]
     tables = run.refresh(_sink(spark, "refreshed"), sources, list(catalog.CURATIONS), LINES_AS_OF)
