@@ -1,12 +1,16 @@
 """Curated tables and facts of the proxy surveys.
 
 ``curated_*`` and ``*_fact`` are plans. ``lines`` and ``news`` are stars whose
-facts are written once per session to the shared folder, as a daily run would
-leave them, so that a measure reads a table and not the whole derivation.
+curated tables and facts are written once per session to the shared folder, as
+a daily run would leave them, so that a measure reads a table and not the whole
+derivation.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sondaflow.measures.context import Star
@@ -52,10 +56,6 @@ def real_rate_fact(spark: SparkSession, folder: str) -> DataFrame:
     return facts.real_rate_fact(curated_rate(spark, folder), curated_inflation(spark, folder))
 
 
-def news_fact(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.expectations_fact(curated_news(spark, folder))
-
-
 def news_comparison_fact(spark: SparkSession, folder: str) -> DataFrame:
     return facts.market_vs_top5_fact(
         curated_news(spark, folder), curated_news_panel(spark, folder))
@@ -70,30 +70,57 @@ def series_dimension(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_name").alias("descricao"))
 
 
+# What each fact of a star is made of: the plan from curated tables, and their plans.
+LINE_FACTS = {
+    "expectations": (facts.expectations_fact, (curated_market,)),
+    "comparison": (facts.market_vs_top5_fact, (curated_market, curated_panel)),
+    "real_rate": (facts.real_rate_fact, (curated_rate, curated_inflation)),
+}
+NEWS_FACTS = {
+    "expectations": (facts.expectations_fact, (curated_news,)),
+    "comparison": (facts.market_vs_top5_fact, (curated_news, curated_news_panel)),
+    "real_rate": LINE_FACTS["real_rate"],
+}
+
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def _written(spark: SparkSession, folder: str, plan) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder, plan.__name__)
-    if key not in _WRITTEN:
-        path = scratch_path(spark, plan.__name__)
-        plan(spark, folder).sortWithinPartitions("data").write.parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
+def _written(spark: SparkSession, folder: str, plans: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Each plan as a table in the shared folder, written side by side where it is not there yet."""
+    session = spark.sparkContext.applicationId
+
+    def write(name: str) -> None:
+        path = scratch_path(spark, name)
+        plans[name]().sortWithinPartitions("data").write.parquet(path)
+        _WRITTEN[session, folder, name] = path
+
+    missing = [name for name in plans if (session, folder, name) not in _WRITTEN]
+    with ThreadPoolExecutor(max_workers=max(1, len(missing))) as pool:
+        list(pool.map(write, missing))
+    return {name: spark.read.parquet(_WRITTEN[session, folder, name]) for name in plans}
 
 
-LINE_FACTS = {"expectations": market_fact, "comparison": comparison_fact, "real_rate": real_rate_fact}
-NEWS_FACTS = {"expectations": news_fact, "comparison": news_comparison_fact,
-              "real_rate": real_rate_fact}
+def _facts(spark: SparkSession, folder: str, label: str, recipes: dict, wanted: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The wanted facts: their curated tables first, each written once, then the facts from those."""
+    if all((spark.sparkContext.applicationId, folder, f"{label}_{n}") in _WRITTEN for n in wanted):
+        curated_tables = {}
+    else:
+        needed = {plan.__name__: plan for n in wanted for plan in recipes[n][1]}
+        curated_tables = _written(spark, folder, {
+            name: lambda plan=plan: plan(spark, folder) for name, plan in needed.items()})
+    built = _written(spark, folder, {
+        f"{label}_{n}": lambda n=n: recipes[n][0](*[curated_tables[p.__name__] for p in recipes[n][1]])
+        for n in wanted})
+    return {n: built[f"{label}_{n}"] for n in wanted}
 
 
 def lines(spark: SparkSession, folder: str, *wanted: str) -> Star:
     """The star of the line series, with the facts a query names."""
-    built = {name: _written(spark, folder, LINE_FACTS[name]) for name in wanted}
-    return Star(dims.calendar(spark), series_dimension(spark, folder), **built)
+    return Star(dims.calendar(spark), series_dimension(spark, folder),
+                **_facts(spark, folder, "lines", LINE_FACTS, wanted))
 
 
 def news(spark: SparkSession, folder: str, *wanted: str) -> Star:
     """The star of the event series, with the published indicator dimension."""
-    built = {name: _written(spark, folder, NEWS_FACTS[name]) for name in wanted}
-    return Star(dims.calendar(spark), dims.indicators(spark), **built)
+    return Star(dims.calendar(spark), dims.indicators(spark),
+                **_facts(spark, folder, "news", NEWS_FACTS, wanted))
