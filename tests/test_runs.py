@@ -241,27 +241,22 @@ def _curation(spark, sink, rows):
 
 def test_curation_counts_add_up(spark, sink):
     _curation(spark, sink, [("2024-01-02", str(i % 7), i) for i in range(20)])
-    # the curated tables of the marts are sorted by their date column, here called day
-    spec = replace(CURATION, columns=(replace(CURATION.columns[0], target="data"), *CURATION.columns[1:]),
-                   keys=("data", "k"))
-    batch = run.curate_all(sink, [spec], "b2")
+    batch = run.curate_all(sink, [CURATION], "b2")
     batch.raise_failures()
     row, = batch.rows
     assert (row["registros_lidos"], row["registros_gravados"], row["duplicatas_removidas"]) == (20, 7, 13)
     table = sink.read("clean")
-    assert table.columns == ["data", "k", "v", "_bronze_batch_id", "_bronze_ingestion_timestamp",
+    assert table.columns == ["day", "k", "v", "_bronze_batch_id", "_bronze_ingestion_timestamp",
                              "_silver_batch_id", "_silver_timestamp"]
     assert {r.v for r in table.collect()} == set(range(13, 20))
 
 
 def test_refused_curation_keeps_the_old_table(spark, sink):
-    spec = replace(CURATION, columns=(replace(CURATION.columns[0], target="data"), *CURATION.columns[1:]),
-                   keys=("data", "k"))
     _curation(spark, sink, [("2024-01-02", "a", 1)])
-    run.curate_all(sink, [spec]).raise_failures()
+    run.curate_all(sink, [CURATION]).raise_failures()
     _curation(spark, sink, [("2024-01-02", "a", 1), ("2024-01-02", "b", 5000)])
     with pytest.raises(run.BatchError, match="rule__v_small"):
-        run.curate_all(sink, [spec]).raise_failures()
+        run.curate_all(sink, [CURATION]).raise_failures()
     assert sink.read("clean").count() == 1
     assert sink.read(run.CURATION_AUDIT).count() == 2
 
