@@ -32,12 +32,8 @@ class Measure:
     evaluate: Evaluate
 
 
-def _fact(star: Star, name: str) -> DataFrame:
-    return getattr(star, name)
-
-
 def _grouped(star: Star, fact: str, by: list[str], context: Context) -> DataFrame:
-    return calendar_columns(star, rows_in(star, _fact(star, fact), context), by)
+    return calendar_columns(star, rows_in(star, fact, context), by)
 
 
 def _series_of(by: list[str]) -> list[str]:
@@ -93,13 +89,16 @@ def divergence(star: Star, by: list[str], context: Context) -> DataFrame:
 
 
 def last_survey_date(star: Star, by: list[str], context: Context) -> DataFrame:
+    """The filter on the calendar's date is dropped, so a date cannot be a group; a month can."""
+    if "data" in by:
+        raise ValueError("the measure ignores the date, so it cannot be grouped by it")
     rows = _grouped(star, "expectations", by, context.without_day())
     return rows.groupBy(*by).agg(F.max("data").alias("last_survey_date"))
 
 
 def last_median(star: Star, by: list[str], context: Context) -> DataFrame:
     _free_of_calendar(star, by)
-    rows = rows_in(star, star.expectations, context.without_calendar())
+    rows = rows_in(star, "expectations", context.without_calendar())
     return shapes.filled_last_date(rows, by, "mediana", "kpi_last_median").drop("data")
 
 
@@ -108,7 +107,7 @@ def median_card(indicator: str, name: str) -> Evaluate:
     def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
         mine = ((F.col("indicador") == indicator) & (F.col("ano_referencia") == CARD_YEAR)
                 & (F.col("base_calculo") == CARD_BASE))
-        found = last_median(star, by, context.and_fact(mine))
+        found = last_median(star, by, context.and_fact("expectations", mine))
         return found.withColumnRenamed("kpi_last_median", name)
     return evaluate
 
@@ -117,7 +116,7 @@ def divergence_card(indicator: str, name: str) -> Evaluate:
     def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
         _free_of_calendar(star, by)
         mine = (F.col("indicador") == indicator) & (F.col("ano_referencia") == CARD_YEAR)
-        rows = rows_in(star, star.comparison, context.without_calendar().and_fact(mine))
+        rows = rows_in(star, "comparison", context.without_calendar().and_fact("comparison", mine))
         values = {name: "divergencia_top5_mercado"}
         return shapes.as_of_own_last_date(rows, by, values).drop("data")
     return evaluate
@@ -135,7 +134,7 @@ def current_rate(column: str, name: str) -> Evaluate:
     """Average on the last date without calendar filters; the rows averaged still obey them."""
     def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
         rows = _grouped(star, "real_rate", by, context)
-        whole = rows_in(star, star.real_rate, context.without_calendar())
+        whole = rows_in(star, "real_rate", context.without_calendar())
         return shapes.averages(shapes.on_last_date_of(rows, whole), by, {name: column})
     return evaluate
 
@@ -158,7 +157,8 @@ def table_sign(star: Star, by: list[str], context: Context) -> DataFrame:
 
 def latest_text(star: Star, by: list[str] | None = None,
                 context: Context = EVERYTHING) -> DataFrame:
-    """The newest observation in words: the rate fact decides, then the comparison, then the survey."""
+    """The newest observation in words: the rate fact decides, then the comparison, then the survey.
+    Every filter and group is ignored."""
     dates = [fact.agg(F.max("data")).scalar()
              for fact in (star.real_rate, star.comparison, star.expectations) if fact is not None]
     one = star.calendar.sparkSession.range(1)

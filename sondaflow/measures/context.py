@@ -7,7 +7,8 @@ dimension to the facts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,13 +39,14 @@ class Context:
     ``days``      inclusive range on the calendar's date; either end may be open
     ``calendar``  predicate on the calendar's other attributes
     ``indicator`` predicate on the indicator dimension
-    ``fact``      predicate on the fact's own columns
+    ``facts``     predicate on a fact's own columns, by the fact's name in ``Star``;
+                  it filters that fact only
     """
 
     days: tuple[date | None, date | None] | None = None
     calendar: Column | None = None
     indicator: Column | None = None
-    fact: Column | None = None
+    facts: Mapping[str, Column] = field(default_factory=dict)
 
     def without_day(self) -> "Context":
         """Only the filter on the calendar's date is removed; its other attributes still filter."""
@@ -53,21 +55,24 @@ class Context:
     def without_calendar(self) -> "Context":
         return replace(self, days=None, calendar=None)
 
-    def and_fact(self, predicate: Column) -> "Context":
-        return replace(self, fact=predicate if self.fact is None else self.fact & predicate)
+    def and_fact(self, fact: str, predicate: Column) -> "Context":
+        before = self.facts.get(fact)
+        both = predicate if before is None else before & predicate
+        return replace(self, facts={**self.facts, fact: both})
 
 
 EVERYTHING = Context()
 
 
-def rows_in(star: Star, fact: DataFrame, context: Context = EVERYTHING) -> DataFrame:
-    """The fact rows that the context leaves.
+def rows_in(star: Star, name: str, context: Context = EVERYTHING) -> DataFrame:
+    """The rows of a fact that the context leaves.
 
     A date range is put on the fact's own date column, where the file scan can
     use it; other calendar attributes come as a semi join on the date key, and
     the calendar is at most some fifteen thousand rows by construction.
     """
-    rows = fact if context.fact is None else fact.filter(context.fact)
+    fact = getattr(star, name)
+    rows = fact.filter(context.facts[name]) if name in context.facts else fact
     if context.days is not None:
         first, last = context.days
         if first is not None:

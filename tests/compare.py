@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from datetime import date, datetime
+from datetime import datetime
 from decimal import Decimal
 
 import duckdb

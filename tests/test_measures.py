@@ -75,7 +75,7 @@ def test_every_measure_evaluates(star):
 def test_average_by_group_and_context(star):
     assert values(measure("median_market", star, ["indicador"]), "indicador") == {
         "IPCA": 3.75, "Selic": 11.0, "Câmbio": 7.0617}
-    until = Context(days=(None, D2), fact=F.col("base_calculo") == 0)
+    until = Context(days=(None, D2), facts={"expectations": F.col("base_calculo") == 0})
     assert values(measure("median_market", star, ["indicador"], until), "indicador")["IPCA"] == 5.0
     january = Context(calendar=F.col("mes") == 1)
     assert values(measure("median_market", star, ["ano_mes"], january), "ano_mes") == {
@@ -93,6 +93,17 @@ def test_difference_across_facts(star):
     assert alone(measure("divergence", star, [])) == pytest.approx(27.5 / 4 - 51.1234 / 8)
 
 
+def test_a_fact_filter_stays_with_its_fact(star):
+    """Filters do not run from one fact to the other."""
+    context = Context(facts={"expectations": F.col("base_calculo") == 1})
+    assert values(measure("spread", star, ["indicador"], context), "indicador") == {
+        "IPCA": -0.25, "Selic": 0.5}
+    assert values(measure("divergence", star, ["indicador"], context), "indicador") == {
+        "IPCA": 4.75, "Selic": -3.0}
+    twice = context.and_fact("expectations", F.col("ano_referencia") == 2027)
+    assert alone(measure("median_market", star, [], twice)) is None
+
+
 def test_single_value(star):
     assert alone(measure("policy_rate", star)) is None
     assert alone(measure("policy_rate", star, [], Context(days=(D1, D2)))) == 13.75
@@ -103,7 +114,7 @@ def test_last_point_and_labels(star):
     points = values(measure("last_point", star, ["indicador", "data"]), "indicador", "data")
     assert points[("IPCA", D3)] == 0.0 and points[("IPCA", D2)] is None
     assert points[("Selic", D3)] == 12.0
-    base0 = Context(fact=F.col("base_calculo") == 0)
+    base0 = Context(facts={"expectations": F.col("base_calculo") == 0})
     points = values(measure("last_point", star, ["indicador", "data"], base0), "indicador", "data")
     assert points[("Selic", D1)] == 10.0 and points[("Selic", D2)] is None  # last date has no value
     labels = values(measure("last_currency_label", star, ["indicador", "data"]), "indicador", "data")
@@ -144,6 +155,9 @@ def test_highlight_starts_at_the_latest_date_thirty_days_back(spark):
 def test_last_survey_date_drops_only_the_date_filter(star):
     context = Context(days=(None, D1), calendar=F.col("mes") == 1)
     assert values(measure("last_survey_date", star, ["indicador"], context), "indicador")["IPCA"] == D2
+    assert values(measure("last_survey_date", star, ["ano_mes"], context), "ano_mes") == {"2024-01": D2}
+    with pytest.raises(ValueError, match="date"):
+        measure("last_survey_date", star, ["data"])
 
 
 def test_last_median_skips_zero_and_null_days(star):

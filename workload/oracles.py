@@ -310,7 +310,6 @@ IN_RANGE = "mediana BETWEEN minimo AND maximo"
 LINES_MONTHS = "data BETWEEN DATE '2001-06-01' AND DATE '2001-11-30'"
 NEWS_MONTHS = "data BETWEEN DATE '2023-08-01' AND DATE '2024-01-31'"
 RATE_MONTHS = "data BETWEEN DATE '2001-02-02' AND DATE '2001-08-01'"
-ALL_DAYS = "l_shipdate BETWEEN DATE '1995-01-01' AND DATE '2001-12-15'"
 
 ORACLES: dict[str, str] = {
     "curated_survey": with_tables(
