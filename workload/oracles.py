@@ -438,6 +438,32 @@ ORACLES: dict[str, str] = {
     "kpi_last_median": with_tables(f"""
         {_last_filled('expectations', 'indicador, ano_referencia, base_calculo', 'kpi_last_median')}
         SELECT * EXCLUDE (data) FROM cards""", "expectations"),
+    "measure_cards": with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS measure,
+                       (SELECT {mean('mediana')} FROM news_expectations
+                        WHERE {where} AND data = (SELECT max(data) FROM news_expectations
+                                                  WHERE {where} AND mediana <> 0)) AS value"""
+            for name, where in (
+                (name, f"indicador = '{indicator}' AND ano_referencia = 2026 AND base_calculo = 0")
+                for name, indicator in (("kpi_ipca", "IPCA"), ("kpi_selic", "Selic"),
+                                        ("kpi_pib", "PIB Total"), ("kpi_dolar", "Câmbio"))))
+        + " UNION ALL " + " UNION ALL ".join(
+            f"""SELECT '{name}',
+                       (SELECT {mean('divergencia_top5_mercado')} FROM news_comparison
+                        WHERE {where} AND data = (SELECT max(data) FROM news_comparison
+                                                  WHERE {where}))"""
+            for name, where in (
+                (name, f"indicador = '{indicator}' AND ano_referencia = 2026")
+                for name, indicator in (("kpi_divergence_ipca", "IPCA"),
+                                        ("kpi_divergence_selic", "Selic"))))
+        + " UNION ALL " + " UNION ALL ".join(
+            f"""SELECT '{name}', (SELECT {mean(column)} FROM real_rate
+                        WHERE data = (SELECT max(data) FROM real_rate))"""
+            for name, column in (("kpi_policy_rate", "taxa_selic_meta_aa"),
+                                 ("kpi_inflation", "ipca_esperado_12m"),
+                                 ("kpi_real_rate", "taxa_juro_real_ex_ante"))),
+        "news_expectations", "news_comparison", "real_rate"),
     "divergence_signs": with_tables(f"""
         signs AS (SELECT indicador, ano_referencia, {mean('divergencia_top5_mercado')} AS spread
                   FROM comparison GROUP BY ALL)
@@ -548,15 +574,19 @@ ORACLES: dict[str, str] = {
           ON CAST(l_shipdate AS DATE) BETWEEN first_day AND last_day GROUP BY ALL""",
     "load_audit": """
         SELECT 'bronze_expectativas_anuais' AS tabela, 'OK' AS status, count(*) AS registros,
-               14 AS colunas, max(CAST(ts AS DATE)) AS data_max
+               14 AS colunas, max(CAST(ts AS DATE)) AS data_max, NULL AS erro
         FROM events WHERE event_type IN ('view', 'click', 'error', 'purchase')
         UNION ALL
-        SELECT 'bronze_top5_anuais', 'OK', count(*), 12, max(CAST(ts AS DATE)) FROM events
+        SELECT 'bronze_top5_anuais', 'OK', count(*), 12, max(CAST(ts AS DATE)), NULL FROM events
         WHERE event_type IN ('view', 'click', 'error') AND minute(ts) < 30
         UNION ALL
-        SELECT 'bronze_inflacao_12m', 'OK', count(*), 13, max(CAST(l_shipdate AS DATE)) FROM lineitem
+        SELECT 'bronze_inflacao_12m', 'OK', count(*), 13, max(CAST(l_shipdate AS DATE)), NULL
+        FROM lineitem
         UNION ALL
-        SELECT 'bronze_meta_selic', 'ERRO', 0, 0, NULL""",
+        SELECT 'bronze_meta_selic', 'ERRO', 0, 0, NULL,
+               'GateError: stale data: newest date ' || max(CAST(o_orderdate AS DATE)) || ' is '
+               || (DATE '2024-01-31' - max(CAST(o_orderdate AS DATE))) || ' days old'
+        FROM orders""",
     "curation_audit": with_tables("""
         SELECT 'silver_expectativas_anuais' AS tabela, 'ERRO' AS status,
                CAST(0 AS BIGINT) AS registros_lidos, CAST(0 AS BIGINT) AS registros_gravados,

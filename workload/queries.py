@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -118,7 +119,7 @@ def freshness_gate(spark, folder):
         spec = replace(_load_spec(table), keys=())
         metrics = gates.freshness(gates.load_metrics(raw, spec), NEWS_AS_OF, spec.max_age_days)
         parts.append(metrics.select(F.lit(table).alias("source"), "rows", "newest", "age_days", "fresh"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -235,7 +236,7 @@ def test_relationships(spark, folder):
                                proxies.table(spark, folder, parent), key)
         parts.append(found.select(F.lit(name).alias("table_name"),
                                   F.col(column).alias("orphan"), "rows"))
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -332,6 +333,17 @@ def kpi_last_median(spark, folder):
     return measure("kpi_last_median", star, ["indicador", "ano_referencia", "base_calculo"])
 
 
+@query
+def measure_cards(spark, folder):
+    """The nine card measures by name, without any filter of their own page."""
+    published = marts.news(spark, folder, "expectations", "comparison", "real_rate")
+    names = ["kpi_ipca", "kpi_selic", "kpi_pib", "kpi_dolar", "kpi_divergence_ipca",
+             "kpi_divergence_selic", "kpi_policy_rate", "kpi_inflation", "kpi_real_rate"]
+    cards = [measure(n, published).select(F.lit(n).alias("measure"), F.col(n).alias("value"))
+             for n in names]
+    return reduce(DataFrame.unionByName, cards)
+
+
 @query
 def divergence_signs(spark, folder):
     star = marts.lines(spark, folder, "comparison")
@@ -495,7 +507,7 @@ def load_audit(spark, folder):
     sink = _sink(spark, "loads")
     run.ingest(sink, specs, NEWS_AS_OF)
     return sink.read(run.LOAD_AUDIT).select(
-        "tabela", "status", "registros", "colunas", "data_max")
+        "tabela", "status", "registros", "colunas", "data_max", "erro")
 
 
 @query
@@ -523,4 +535,4 @@ def refreshed_tables(spark, folder):
     counts = [tables[name].select(F.lit(name).alias("table_name")).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_rows"))
         for name in (catalog.EXPECTATIONS, catalog.COMPARISON, catalog.REAL_RATE)]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return reduce(DataFrame.unionByName, counts)
