@@ -121,6 +121,21 @@ def test_reader_registry(spark, sink):
     assert landing.read_source(spark, replace(spec, reader="mine"), mine).count() == 1
 
 
+def test_landed_responses(spark, tmp_path):
+    """Whole responses as they came: a paged one wraps its records, a series is a bare array."""
+    for page in range(3):
+        body = {"@odata.context": "x", "value": [{"d": f"2024-01-0{page + 1}", "v": None, "n": i} for i in range(4)]}
+        (tmp_path / f"p{page}.json").write_text(json.dumps(body, indent=1))
+    (tmp_path / "series").mkdir()
+    (tmp_path / "series" / "s.json").write_text(json.dumps([{"data": "02/01/2024", "valor": "1"}] * 2))
+    spec = SourceSpec(target="t", reader="documents", date_column="d", date_format="yyyy-MM-dd",
+                      filter="n < 3", options={"path": f"{tmp_path}/p*.json", "records": "value"})
+    rows = landing.read_source(spark, spec)
+    assert rows.count() == 9 and dict(rows.dtypes) == {"d": "string", "n": "bigint", "v": "string"}
+    series = replace(spec, filter=None, options={"path": f"{tmp_path}/series"})
+    assert landing.read_source(spark, series).count() == 2
+
+
 def test_source_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(10).select(F.col("id").cast("string").alias("Indicador")).write.parquet(path)
