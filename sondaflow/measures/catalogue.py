@@ -82,7 +82,11 @@ def highlight(column: str) -> Evaluate:
 
 
 def divergence(star: Star, by: list[str], context: Context) -> DataFrame:
-    """Top 5 median minus market median, each over its own fact."""
+    """Top 5 median minus market median, each over its own fact. Only the shared dimensions
+    reach both facts; a column that each fact has for itself would filter one of them."""
+    own = [c for c in by if c != "indicador" and c not in star.calendar.columns]
+    if own:
+        raise ValueError(f"not a shared dimension: {own}")
     return shapes.mean_difference(
         _grouped(star, "comparison", by, context), "mediana_top5",
         _grouped(star, "expectations", by, context), "mediana", by, "divergence")

@@ -27,6 +27,23 @@ def build_session(app: str = "sondaflow", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def scale_settings(shuffled_bytes: int, cores: int, partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings for a known amount of shuffled data, to pass to ``build_session``.
+
+    A shuffle starts with enough partitions for each to fit a task's memory, and
+    at least two per core; adaptive execution merges those that turn out small
+    up to a size worth writing as a file. A hundred thousand is the most that
+    map outputs are still cheap to track for; beyond it partitions grow and spill.
+    """
+    wanted = -(-shuffled_bytes // partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(wanted, 2 * cores), 100_000)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

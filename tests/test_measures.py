@@ -42,8 +42,11 @@ def star(spark):
             (D1, "IPCA", 2026, 4.0, 4.5, 0.5, "up"), (D2, "IPCA", 2026, 6.0, 5.0, -1.0, "down"),
             (D3, "Selic", 2026, 9.0, 9.0, 0.0, "same"), (D3, "Selic", 2027, 8.0, 9.0, 1.0, "up")],
         rates=[(D1, 13.75, 4.65, 8.6957), (D2, 13.75, 4.5, 8.8517), (D3, 12.0, 4.0, 7.6923)])
-    return Star(built.calendar.cache(), built.indicators.cache(), built.expectations.cache(),
-                built.comparison.cache(), built.real_rate.cache())
+    frames = [built.calendar.cache(), built.indicators.cache(), built.expectations.cache(),
+              built.comparison.cache(), built.real_rate.cache()]
+    yield Star(*frames)
+    for frame in frames:
+        frame.unpersist()
 
 
 def values(frame, *by):
@@ -90,6 +93,10 @@ def test_difference_across_facts(star):
     assert found["Câmbio"] == pytest.approx(-7.0617)  # no Top 5 rows: zero minus the market
     nothing = Context(days=(date(2030, 1, 1), None))
     assert alone(measure("divergence", star, [], nothing)) is None
+    with pytest.raises(ValueError, match="shared"):
+        measure("divergence", star, ["ano_referencia"])
+    assert values(measure("divergence", star, ["ano_mes"]), "ano_mes") == {
+        "2024-01": pytest.approx(4.75 - 39.1234 / 6), "2024-02": 3.0}
     assert alone(measure("divergence", star, [])) == pytest.approx(27.5 / 4 - 51.1234 / 8)
 
 

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from sondaflow.session import scratch_path, shared_folder
+from sondaflow.session import scale_settings, scratch_path, shared_folder
 
 
 def _session(master, conf=None, checkpoint=None):
@@ -28,3 +28,9 @@ def test_a_local_session_makes_one_folder_and_keeps_it(tmp_path, monkeypatch):
     folder = shared_folder(session)
     assert folder == shared_folder(session) and folder.startswith(str(tmp_path))
     assert scratch_path(session, "a") != scratch_path(session, "a")
+
+
+@pytest.mark.parametrize("shuffled, cores, partitions", [
+    (0, 8, 16), (10 << 30, 4, 20), (1 << 40, 1000, 2048), (100 << 40, 4000, 100_000)])
+def test_partitions_follow_the_data(shuffled, cores, partitions):
+    assert scale_settings(shuffled, cores)["spark.sql.shuffle.partitions"] == str(partitions)

@@ -405,14 +405,15 @@ ORACLES: dict[str, str] = {
                {mean('divergencia_top5_mercado')} AS spread
         FROM comparison GROUP BY ALL""", "comparison"),
     "cross_fact_divergence": with_tables(f"""
-        m AS (SELECT indicador, ano_referencia, {mean('mediana')} AS market
-              FROM expectations GROUP BY ALL),
-        t AS (SELECT indicador, ano_referencia, {mean('mediana_top5')} AS top5
-              FROM comparison GROUP BY ALL)
-        SELECT indicador, ano_referencia,
+        m AS (SELECT indicador, ano, semestre, {mean('mediana')} AS market
+              FROM expectations JOIN calendar USING (data_sk) GROUP BY ALL),
+        t AS (SELECT indicador, ano, semestre, {mean('mediana_top5')} AS top5
+              FROM comparison JOIN calendar USING (data_sk) GROUP BY ALL)
+        SELECT indicador, ano, semestre,
                CASE WHEN top5 IS NOT NULL OR market IS NOT NULL
                     THEN coalesce(top5, 0) - coalesce(market, 0) END AS divergence
-        FROM t FULL JOIN m USING (indicador, ano_referencia)""", "expectations", "comparison"),
+        FROM t FULL JOIN m USING (indicador, ano, semestre)""",
+        "expectations", "comparison", "calendar"),
     "single_values": with_tables("""
         SELECT indicador, data, ano_referencia,
                CASE WHEN count(DISTINCT mediana) = 1 AND count(mediana) = count(*)

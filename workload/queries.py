@@ -276,9 +276,9 @@ def top5_by_series(spark, folder):
 
 @query
 def cross_fact_divergence(spark, folder):
-    """Difference of measures of two facts; a side without rows counts as zero."""
+    """Difference of measures of two facts by their shared dimensions; a side without rows is zero."""
     star = marts.lines(spark, folder, "expectations", "comparison")
-    return measure("divergence", star, ["indicador", "ano_referencia"])
+    return measure("divergence", star, ["indicador", "ano", "semestre"])
 
 
 @query
