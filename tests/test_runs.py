@@ -1,4 +1,5 @@
 import json
+import time
 from dataclasses import replace
 from datetime import date
 
@@ -201,6 +202,8 @@ def test_ingest_publishes_with_audit_columns(spark, sink):
     assert (audit.batch_id, audit.tabela, audit.status, audit.registros, audit.colunas, audit.data_max,
             audit.erro) == ("batch-1", "raw", "OK", 8, 7, date(2024, 1, 2), None)
     assert audit.fim >= audit.inicio and audit.duracao_s >= 0
+    seconds = sink.read(run.LOAD_AUDIT).select(F.unix_timestamp("fim").alias("s")).first().s
+    assert abs(seconds - time.time()) < 600
 
 
 @pytest.mark.parametrize("bad, told", [
