@@ -6,10 +6,13 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from sondaflow.measures.catalogue import measure
+from sondaflow.measures.context import Star
 from sondaflow.operators import gates
 from sondaflow.plans import catalog, run
 from sondaflow.session import scratch_path
 from sondaflow.sources import landing, paged
+from sondaflow.sources.tables import TableSink
 from sondaflow.specs import ColumnSpec, CurationSpec, SourceSpec
 
 AS_OF = date(2024, 1, 10)
@@ -298,17 +301,21 @@ def test_full_refresh_with_the_published_catalog(spark, sink):
     sources = [replace(s, reader="json", options={"path": write_records(
         spark, next(r for t, r in landed.items() if s.target == catalog.raw_table(t)))})
         for s in catalog.SOURCES]
-    tables = run.refresh(sink, sources, list(catalog.CURATIONS), AS_OF)
+    gold = TableSink(spark, f"{sink.database}_gold", sink.folder).create()
+    tables = run.refresh(sink, sources, catalog.CURATIONS, AS_OF, marts=gold)
+    assert gold.exists(catalog.COMPARISON) and not sink.exists(catalog.COMPARISON)
     assert tables[catalog.EXPECTATIONS].count() == 16  # the filter drops the other indicator
     assert tables[catalog.COMPARISON].count() == 8
     assert {r.sinal_posicionamento for r in tables[catalog.COMPARISON].collect()} == {
         "Top 5 mais alto (Hawkish)"}
     assert [r.taxa_juro_real_ex_ante for r in tables[catalog.REAL_RATE].collect()] == [9.375, 9.375]
     assert tables[catalog.CALENDAR].count() == 14975
-    top = spark.sql(f"SELECT * FROM {sink.name(catalog.REAL_RATE)} ORDER BY data DESC LIMIT 10")
+    top = spark.sql(f"SELECT * FROM {gold.name(catalog.REAL_RATE)} ORDER BY data DESC LIMIT 10")
     assert top.first().data == date(2024, 1, 3)
     # a second run with the same records refreshes everything again
-    run.refresh(sink, sources, list(catalog.CURATIONS), AS_OF)
+    run.refresh(sink, sources, catalog.CURATIONS, AS_OF, marts=gold)
+    star = Star.of({t: gold.read(t) for t in tables})
+    assert measure("kpi_ipca", star).first().kpi_ipca == 4.0
     assert sink.read(run.LOAD_AUDIT).count() == 8
 
 
