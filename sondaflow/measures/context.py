@@ -17,6 +17,9 @@ from sondaflow.operators.dims import restricted
 from sondaflow.plans import catalog
 
 
+FACTS = {"expectations", "comparison", "real_rate"}
+
+
 @dataclass(frozen=True)
 class Star:
     calendar: DataFrame
@@ -71,7 +74,12 @@ def rows_in(star: Star, name: str, context: Context = EVERYTHING) -> DataFrame:
     use it; other calendar attributes come as a semi join on the date key, and
     the calendar is at most some fifteen thousand rows by construction.
     """
+    unknown = set(context.facts) - FACTS
+    if unknown:
+        raise ValueError(f"no fact is called {sorted(unknown)}")
     fact = getattr(star, name)
+    if fact is None:
+        raise ValueError(f"the star was built without its {name} fact")
     rows = fact.filter(context.facts[name]) if name in context.facts else fact
     if context.days is not None:
         first, last = context.days

@@ -111,6 +111,13 @@ def test_a_fact_filter_stays_with_its_fact(star):
     assert alone(measure("median_market", star, [], twice)) is None
 
 
+def test_unknown_and_missing_facts_are_told(spark, star):
+    with pytest.raises(ValueError, match="expectation'"):
+        measure("median_market", star, [], Context(facts={"expectation": F.lit(True)}))
+    with pytest.raises(ValueError, match="without its real_rate"):
+        measure("real_rate", Star(star.calendar, star.indicators, star.expectations))
+
+
 def test_single_value(star):
     assert alone(measure("policy_rate", star)) is None
     assert alone(measure("policy_rate", star, [], Context(days=(D1, D2)))) == 13.75
