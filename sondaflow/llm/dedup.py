@@ -196,9 +196,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The kept documents with all their columns; of rows that repeat id and text one stays."""
     kept = (near_duplicates(docs, id, text, **options).filter("kept")
-            .select(F.col(id).alias("kept_id"), F.col("text_hash").alias("kept_text")).distinct())
+            .select(F.col(id).alias("__kept_id"), F.col("text_hash").alias("__kept_text")).distinct())
     key = F.xxhash64(text)
     return (docs.withColumn("__text_hash", key)
-            .join(kept, F.col(id).eqNullSafe(F.col("kept_id")) & (F.col("__text_hash") == F.col("kept_text")),
+            .join(kept, F.col(id).eqNullSafe(F.col("__kept_id")) & (F.col("__text_hash") == F.col("__kept_text")),
                   "left_semi")
             .dropDuplicates([id, "__text_hash"]).drop("__text_hash"))

@@ -16,9 +16,12 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sondaflow.llm.tables import written
@@ -26,6 +29,7 @@ from sondaflow.llm.tables import written
 BLOCK = 256
 SHARD_WORDS = 1 << 20
 WEIGHTS = (5, 2, 1)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def in_order(sources) -> list:
@@ -111,8 +115,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
           shard_words: int = SHARD_WORDS, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Documents and what the mix takes of them.
 
-    The first frame has a row per row of ``docs``: row, id, size, source, source_size,
-    target, taken. The second has a row per taken run of words: row, turn (0 for the
+    The first frame has a row per row of ``docs``: row, hash (of id and text), id, size,
+    source, source_size, target, taken. The second has a row per taken run of words: row, turn (0 for the
     first copy, 1 for the second), first and last word (exclusive). ``row`` is a key
     made from id, text and a running number of equal rows.
 
@@ -182,6 +186,50 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     pieces = written(pieces, "pieces")
     taken = pieces.groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
     out = at.join(taken, "row", "left").select(
-        "row", F.col("id").alias(id), "size", "source", "source_size", "target",
+        "row", "hash", F.col("id").alias(id), "size", "source", "source_size", "target",
         F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
     return out, pieces
+
+
+def _cut(column: str, size: str | None):
+    """The words first … last of each text as they stand in it; a whole text stays as it is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, first, last, words in zip(*(batch.column(c).to_pylist() for c in (column, "__first", "__last", "__size"))):
+                if (first, last) != (0, words):
+                    bounds = [m.span() for m in islice(WORD.finditer(text), first, last)]
+                    text = text[bounds[0][0]:bounds[-1][1]]
+                texts.append(text)
+            columns = {n: batch.column(n) for n in batch.schema.names if n not in ("__first", "__last", "__size")}
+            columns[column] = pa.array(texts, pa.string())
+            if size in columns:
+                columns[size] = pa.array([len(t) for t in texts], columns[size].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    return run
+
+
+def mixed_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+                    chars: str | None = "n_chars", **options) -> DataFrame:
+    """The mix as rows like those of ``docs``: one for each run of words taken without a gap.
+
+    A run is a piece of the document's text, all of it where nothing was left out; a
+    document that is taken twice has rows of both turns. ``chars``, if there is such a
+    column, becomes the length of the new text. Rows that repeat id, text and source
+    lend their other columns from one of them.
+    """
+    found, pieces = mixed(docs, id, text, source, **options)
+    # Runs of neighbouring blocks are one.
+    line = Window.partitionBy("row", "turn").orderBy("first")
+    runs = (pieces.withColumn("gap", F.coalesce(F.col("first") != F.lag("last").over(line), F.lit(True)))
+            .withColumn("run", F.sum(F.col("gap").cast("int")).over(line))
+            .groupBy("row", "turn", "run").agg(F.min("first").alias("__first"), F.max("last").alias("__last")))
+    taken = found.select(
+        "row", F.col("hash").alias("__of"), F.col(id).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+    taken = runs.join(taken, "row").select("__of", "__id", "__source", "__size", "__first", "__last")
+    whole = (docs.withColumn("__hash", F.xxhash64(F.col(id), F.col(text))).repartition("__hash")
+             .dropDuplicates(["__hash", id, source]))
+    rows = whole.join(taken, (F.col("__hash") == F.col("__of")) & F.col(id).eqNullSafe(F.col("__id"))
+                      & F.col(source).eqNullSafe(F.col("__source")))
+    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
+    return (rows.select(*docs.columns, "__first", "__last", "__size").mapInArrow(_cut(text, chars), schema))
