@@ -6,19 +6,19 @@ shingle sets reaches ``percent``:
 
 1. Documents with the same set become one node, so copies cost one row each.
 2. Inverted lists of retained values generate overlaps. Rare values come first:
-   a linked pair shares at least ``need`` values, so it meets in the list of one
-   of its ``size - need + 1`` rarest, and the lists of common passages, which
-   stand last, are hardly ever used. Values of a single node need no list.
-3. Each list links its nodes to a hub, twice with other hubs, after which groups
-   of near copies are one component; then every pair of a list whose ends are
-   still in different components is tried. No pair inside a component is made.
+   a node shares at least ``need`` values with any node linked to it, so they meet
+   in the list of one of its ``size - need + 1`` rarest, and the lists of common
+   passages, which stand last, are hardly ever used. Values of one node need no list.
+3. Lists link nodes to hubs, each node to one at a time, after which groups of near
+   copies are one component; then every pair of a list whose ends are still in
+   different components is tried. No pair inside a component is made.
 4. The sketch of the union (its ``keep`` smallest hashes) estimates the similarity
    of a pair; pairs far below the limit go.
 5. The whole sets of the remaining pairs, made again from the texts, decide.
 
-``need`` is the number of shared values that a pair at the limit falls short of
-with a probability below 1e-12; sets not larger than a sketch are compared in
-full. Shingles are compared by 64-bit hashes.
+``need`` follows from the size of a set: a pair at the limit shares fewer retained
+values with a probability below 1e-12, and sets not larger than a sketch always
+share as many. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,20 +34,45 @@ from sondaflow.llm.components import components
 from sondaflow.llm.tables import per_block, row_blocks, text_bytes, written
 from sondaflow.llm.words import mix, shingle_hashes, word_hashes
 
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 MISS = 1e-12
+KEEP = 96
 
 
-def needed(keep: int, percent: int) -> int:
-    """The largest count that a pair at the limit reaches but for a chance of ``MISS``."""
-    p, total = percent / 100, 0.0
-    for shared in range(keep + 1):
-        total += math.comb(keep, shared) * p ** shared * (1 - p) ** (keep - shared)
+def _shared_at_least(union: int, keep: int, percent: int) -> int:
+    """Values of the union's sketch that both ends of a linked pair hold, but for a chance of ``MISS``:
+    the sketch is a random draw from the union, of which at most ``100 - percent`` in 100 are not in both."""
+    apart = union * (100 - percent) // 100
+    if union <= keep:
+        return union - apart
+
+    def log_choose(n: int, k: int) -> float:
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    total = 0.0
+    for misses in range(min(apart, keep), -1, -1):
+        if keep - misses <= union - apart:
+            total += math.exp(log_choose(apart, misses) + log_choose(union - apart, keep - misses)
+                              - log_choose(union, keep))
         if total > MISS:
-            return max(1, shared)
+            return keep - misses
     return keep
 
 
+def needed(keep: int, percent: int) -> list[int]:
+    """By size of a set: retained values that it shares with any set linked to it. The last entry,
+    for a union so large that its sketch is a draw with replacement, holds for all larger sizes."""
+    sizes = 8 * keep
+    shared = [_shared_at_least(u, keep, percent) for u in range(sizes * 100 // percent + 1)]
+    needs = [min(shared[n:n * 100 // percent + 1]) for n in range(sizes)]
+    return [*needs, _shared_at_least(1 << 40, keep, percent)]
+
+
+def _need(n: Column, keep: int, percent: int) -> Column:
+    needs = needed(keep, percent)
+    return F.get(F.array(*map(F.lit, needs)), F.least(n, F.lit(len(needs) - 1)).cast("int"))
+
+
 def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
     """For each text its sorted distinct shingle hashes."""
     hashes, firsts = shingle_hashes(*word_hashes(data, offsets), words)
@@ -68,12 +93,12 @@ def _sketch_kernel(words: int, keep: int):
             names.append(np.array([h.sum(), mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum()], ">u8").tobytes()
                          if len(part) else None)
         values = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-        return {"n_shingles": pa.array(sizes, pa.int64()), "node": pa.array(names, pa.binary()),
+        return {"n_shingles": pa.array(sizes, pa.int64()), "name": pa.array(names, pa.binary()),
                 "sketch": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int64()))}
     return kernel
 
 
-def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, keep: int = 64) -> DataFrame:
+def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, keep: int = KEEP) -> DataFrame:
     """Per row: id, a hash of the text, the size of its shingle set, the name of the set, its sketch.
 
     The name is 128 bits made from the whole set, null when the set is empty.
@@ -81,53 +106,50 @@ def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).mapInArrow(
         per_block(_sketch_kernel(words, keep)),
-        f"id {kind}, text_hash long, n_shingles long, node binary, sketch array<long>")
-
-
-def _need(n: Column, keep: int, percent: int) -> Column:
-    """Least number of retained values that a node of n shingles shares with any node linked to it."""
-    return F.when(100 * n < percent * keep, F.ceil(n * percent / 100)).otherwise(needed(keep, percent))
+        f"id {kind}, text_hash long, n_shingles long, name binary, sketch array<long>")
 
 
 def overlap_lists(nodes: DataFrame, keep: int, percent: int) -> DataFrame:
-    """Rows (value, node, n): the inverted lists in which every linked pair meets."""
-    retained = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    """Rows (value, node): the inverted lists in which every linked pair meets."""
+    retained = nodes.select("node", F.explode("sketch").alias("value"))
     shared = retained.groupBy("value").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
-    ranked = (retained.join(shared, "value").groupBy("node", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("nodes", "value"))).alias("ranked")))
-    used = F.size("ranked") - _need(F.col("n"), keep, percent).cast("int") + 1
-    return (ranked.withColumn("used", used).filter("used > 0")
-            .select("node", "n", F.explode(F.expr("slice(ranked, 1, used)")).alias("r"))
-            .select("r.value", "node", "n"))
+    ranked = (retained.join(shared, "value").groupBy("node")
+              .agg(F.sort_array(F.collect_list(F.struct("nodes", "value"))).alias("ranked"))
+              .join(nodes.select("node", "need"), "node").withColumn("used", F.size("ranked") - F.col("need") + 1))
+    return (ranked.filter("used > 0").select("node", F.explode(F.expr("slice(ranked, 1, used)")).alias("r"))
+            .select("r.value", "node"))
 
 
 def _hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    hub = F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn)))
-    hubs = (lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), hub.alias("hub"))
+    """Each node with one hub of its lists that is in another component."""
+    key = F.xxhash64("node", F.lit(turn))
+    hubs = (lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                       F.min(F.struct(key.alias("key"), "node", "root")).alias("hub"))
             .filter("lo != hi").select("value", "hub"))
-    return lists.join(hubs, "value").filter("root != hub.root").select(
-        "node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("other_n"))
+    return (lists.join(hubs, "value").filter("root != hub.root")
+            .groupBy("node").agg(F.min("hub").alias("hub")).select("node", F.col("hub.node").alias("other")))
 
 
 def _cross_pairs(lists: DataFrame) -> DataFrame:
+    """Every pair of a list that is not in one component."""
     roots = lists.select("value", F.col("root").alias("other_root")).distinct()
     ends = lists.join(roots, "value").filter("root < other_root")
-    others = lists.select("value", F.col("root").alias("other_root"), F.col("node").alias("other"),
-                          F.col("n").alias("other_n"))
-    return ends.join(others, ["value", "other_root"]).select("node", "n", "other", "other_n")
+    others = lists.select("value", F.col("root").alias("other_root"), F.col("node").alias("other"))
+    return ends.join(others, ["value", "other_root"]).select("node", "other")
 
 
 def _similar_by_sketch(pairs: DataFrame, nodes: DataFrame, keep: int, percent: int) -> DataFrame:
     """Pairs (u, v) of possible sizes whose union sketch does not rule them out."""
-    pairs = (pairs.filter(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
-             .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct())
-    return (pairs.join(nodes.select(F.col("node").alias("u"), F.col("sketch").alias("su")), "u")
-            .join(nodes.select(F.col("node").alias("v"), F.col("sketch").alias("sv")), "v")
-            .withColumn("union", F.expr(f"slice(sort_array(array_union(su, sv)), 1, {keep})"))
-            .withColumn("shared", F.expr("size(array_intersect(array_intersect(su, sv), union))"))
-            .filter(F.col("shared") >= F.least(F.lit(needed(keep, percent)),
-                                               F.ceil(F.size("union") * percent / 100)))
-            .select("u", "v"))
+    pairs = pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+
+    def end(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.struct("n", "need", "sketch").alias(f"at_{name}"))
+
+    return (pairs.join(end("u"), "u").join(end("v"), "v")
+            .filter(f"100 * least(at_u.n, at_v.n) >= {percent} * greatest(at_u.n, at_v.n)")
+            .withColumn("union", F.expr(f"slice(sort_array(array_union(at_u.sketch, at_v.sketch)), 1, {keep})"))
+            .withColumn("shared", F.expr("size(array_intersect(array_intersect(at_u.sketch, at_v.sketch), union))"))
+            .filter("shared >= greatest(at_u.need, at_v.need)").select("u", "v"))
 
 
 def _verify(words: int, percent: int):
@@ -145,7 +167,7 @@ def _verify(words: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5,
-                    percent: int = 80, keep: int = 64) -> DataFrame:
+                    percent: int = 80, keep: int = KEEP) -> DataFrame:
     """Per row of ``docs``: id, text_hash, n_shingles, component_id, kept.
 
     ``component_id`` is the smallest id that the document reaches over links,
@@ -157,8 +179,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     the row is kept. Other columns of ``docs`` play no part.
     """
     rows = written(sketches(docs, id, text, words, keep), "sketches")
-    nodes = written(rows.filter("node is not null").groupBy("node").agg(
-        F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    # Nodes get numbers, which stand from here on for the names of their sets.
+    nodes = written(
+        rows.filter("name is not null").groupBy("name").agg(
+            F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumn("need", _need(F.col("n"), keep, percent)).withColumn("node", F.monotonically_increasing_id()), "nodes")
     lists = written(overlap_lists(nodes, keep, percent), "lists")
     listed = written(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "listed")
 
@@ -168,9 +193,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
              .join(wanted, F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
              .select(F.col("text").alias("whole"), "text")
              .mapInArrow(per_block(_sketch_kernel(words, 0)),
-                         "whole string, n_shingles long, node binary, sketch array<long>"))
-    texts = written(again.select("node", "whole").join(listed.select("node"), "node", "left_semi")
-                    .dropDuplicates(["node"]), "texts")
+                         "whole string, n_shingles long, name binary, sketch array<long>"))
+    texts = written(again.select("name", "whole").join(listed.select("name", "node"), "name")
+                    .select("node", "whole").dropDuplicates(["node"]), "texts")
 
     roots, links = None, None
     for turn in range(HUB_ROUNDS + 1):
@@ -180,15 +205,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
         likely = _similar_by_sketch(pairs, listed, keep, percent)
         found = (likely.join(texts.select(F.col("node").alias("u"), F.col("whole").alias("text_u")), "u")
                  .join(texts.select(F.col("node").alias("v"), F.col("whole").alias("text_v")), "v")
-                 .mapInArrow(_verify(words, percent), "u binary, v binary"))
+                 .mapInArrow(_verify(words, percent), "u long, v long"))
         links = components(found if links is None else links.unionByName(found))
         roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
-    named = nodes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = (nodes.select("name", "node", "first_id").join(roots, "node", "left")
+             .withColumn("root", F.coalesce("root", "node")))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "root").select("node", "component_id")
-    return (rows.select("id", "text_hash", "n_shingles", "node").join(named, "node", "left")
-            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")))
+    named = named.join(smallest, "root").select("name", "component_id")
+    return (rows.select("id", "text_hash", "n_shingles", "name").join(named, "name", "left")
+            .withColumn("component_id", F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")))
             .select(F.col("id").alias(id), "text_hash", "n_shingles", "component_id",
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
