@@ -1,31 +1,18 @@
-"""Number expressions: rounding, exact means, blank arithmetic, real rates."""
+"""Number expressions: rounding, means from parts, blank arithmetic, real rates."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-FIXED_POINT = "decimal(18,4)"
-
-
 def round4(value: Column) -> Column:
     return F.round(value, 4)
 
 
-def fixed_sum(value: Column) -> Column:
-    """Sum on a fixed-point type: the same total for any partitioning, retry or merge order."""
-    return F.sum(value.cast(FIXED_POINT))
-
-
 def mean_of(total: Column, count: Column) -> Column:
-    """Mean from a fixed-point sum and a count; null when nothing was counted."""
+    """Mean from a sum and a count; null when nothing was counted."""
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
-def mean(value: Column) -> Column:
-    """AVERAGE: nulls are skipped, an empty group gives null."""
-    return mean_of(fixed_sum(value), F.count(value))
-
-
 def single_value(value: Column) -> Column:
     """The value if the group holds exactly one distinct value, else null.
 

@@ -9,15 +9,21 @@ BOLD_DIGITS = "𝟬𝟭𝟮𝟯𝟰𝟱𝟲𝟳𝟴𝟵"
 
 
 def two_digits(value: Column) -> Column:
-    """Half away from zero at two digits. Eight digits first, so that binary noise
-    (8.694999999999999 for 8.695) does not decide the rounding."""
-    return value.cast("decimal(38,8)").cast("decimal(32,2)")
+    """Two digits, half away from zero, of the number as its first fifteen significant digits give it:
+    all that a double surely holds, so that 8.694999999999999 is 8.695. From 1e15 on there are no
+    digits after the point to round."""
+    digits = F.format_string("%.14e", value).cast("decimal(38,18)").cast("decimal(22,2)").cast("string")
+    large = F.translate(F.format_number(value, 2), ",", "")
+    return F.when(F.abs(value) < 1e15, digits).when(value.isNotNull(), large)
+
+
+def _commas(number: Column) -> Column:
+    return F.translate(number, ".", ",")
 
 
 def number_label(value: Column, prefix: str = "", suffix: str = "") -> Column:
     """8.695 -> 8,70 with the given text around it; null stays null."""
-    digits = F.translate(two_digits(value).cast("string"), ".", ",")
-    return F.concat(F.lit(prefix), digits, F.lit(suffix))
+    return F.concat(F.lit(prefix), _commas(two_digits(value)), F.lit(suffix))
 
 
 def percent_label(value: Column) -> Column:
@@ -28,23 +34,27 @@ def currency_label(value: Column) -> Column:
     return number_label(value, prefix="R$ ")
 
 
-def _sign(rounded: Column, positive: str) -> Column:
+def _unsigned(number: Column) -> Column:
+    return F.ltrim(number, F.lit("-"))
+
+
+def _sign(number: Column, positive: str) -> Column:
     """The sign of the rounded number: what rounds to zero is shown as a plain zero."""
-    return F.when(rounded > 0, positive).when(rounded < 0, "-").otherwise("")
+    zero = _unsigned(number) == "0.00"
+    return F.when(zero, "").when(F.startswith(number, F.lit("-")), "-").otherwise(positive)
 
 
 def signed_points(value: Column) -> Column:
     """+0,41 p.p. / -0,41 p.p. / 0,00 p.p."""
     rounded = two_digits(value)
-    size = F.translate(F.abs(rounded).cast("string"), ".", ",")
-    return F.concat(_sign(rounded, "+"), size, F.lit(" p.p."))
+    return F.concat(_sign(rounded, "+"), _commas(_unsigned(rounded)), F.lit(" p.p."))
 
 
 def currency_thousands(value: Column) -> Column:
     """R$ 1.234,50 with grouped thousands."""
     rounded = two_digits(value)
-    size = F.translate(F.format_number(F.abs(rounded), 2), ".,", ",.")
-    return F.concat(_sign(rounded, ""), F.lit("R$ "), size)
+    grouped = F.regexp_replace(_commas(_unsigned(rounded)), r"\B(?=(\d{3})+,)", ".")
+    return F.concat(_sign(rounded, ""), F.lit("R$ "), grouped)
 
 
 def bold_digits(text: Column) -> Column:

@@ -2,13 +2,15 @@
 
 A measure is called with the star, the columns to group by and a context, and
 returns those columns and its value. Series measures need ``data`` among the
-columns; the other columns name the series.
+columns; the other columns name the series. ``measures`` evaluates several of one
+kind over one fact in one aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,24 +18,24 @@ from sondaflow.functions.dates import day_month_year
 from sondaflow.functions.numbers import divergence_colour, table_colour
 from sondaflow.functions.text import bold_digits, currency_label, percent_label
 from sondaflow.measures import shapes
-from sondaflow.measures.context import EVERYTHING, Context, Star, calendar_columns, rows_in
+from sondaflow.measures.context import EVERYTHING, Context, Star, dimension_columns, inside, rows_in
 
 # Fixed values of the report: the projected year and the computation base of the cards.
 CARD_YEAR = 2026
 CARD_BASE = 0
 LATEST_PREFIX = "Data da observação mais recente: "
 
-Evaluate = Callable[[Star, list[str], Context], DataFrame]
-
 
 @dataclass(frozen=True)
-class Measure:
-    number: int
-    evaluate: Evaluate
+class Cards:
+    """The year and base that the card measures fix."""
+
+    year: int = CARD_YEAR
+    base: int = CARD_BASE
 
 
 def _grouped(star: Star, fact: str, by: list[str], context: Context) -> DataFrame:
-    return calendar_columns(star, rows_in(star, fact, context), by)
+    return dimension_columns(star, rows_in(star, fact, context), by)
 
 
 def _series_of(by: list[str]) -> list[str]:
@@ -42,49 +44,168 @@ def _series_of(by: list[str]) -> list[str]:
     return [c for c in by if c != "data"]
 
 
+def _of_calendar(star: Star, by: list[str]) -> list[str]:
+    return [c for c in by if c == "data" or c == "data_sk" or c in star.calendar.columns]
+
+
 def _free_of_calendar(star: Star, by: list[str]) -> None:
     """These measures drop calendar filters, and a calendar group is such a filter."""
-    clash = [c for c in by if c == "data" or c == "data_sk" or c in star.calendar.columns]
+    clash = _of_calendar(star, by)
     if clash:
         raise ValueError(f"the measure ignores the calendar, so it cannot be grouped by {clash}")
 
 
-def average(fact: str, column: str, name: str) -> Evaluate:
-    return lambda star, by, context: shapes.averages(
-        _grouped(star, fact, by, context), by, {name: column})
+class Kind:
+    """How a measure is evaluated. Measures of equal ``batch`` share one aggregate."""
+
+    def batch(self) -> tuple:
+        return (self,)
 
+    def together(self, star: Star, named: dict[str, "Kind"], by: list[str], context: Context,
+                 cards: Cards) -> DataFrame:
+        raise TypeError
 
-def selected(fact: str, column: str, name: str) -> Evaluate:
-    return lambda star, by, context: shapes.single_values(
-        _grouped(star, fact, by, context), by, {name: column})
 
+@dataclass(frozen=True)
+class Average(Kind):
+    """An average, or what is shown of it."""
+
+    fact: str
+    column: str
+    show: Callable[[Column], Column] = lambda value: value
 
-def point(fact: str, column: str, name: str,
-          show: Callable[[Column], Column] = lambda value: value) -> Evaluate:
+    def batch(self) -> tuple:
+        return type(self), self.fact
+
+    def together(self, star, named, by, context, cards):
+        means = shapes.averages(_grouped(star, self.fact, by, context), by,
+                                {f"_{c}": c for c in dict.fromkeys(k.column for k in named.values())})
+        return means.select(*by, *[k.show(F.col(f"_{k.column}")).alias(n) for n, k in named.items()])
+
+
+@dataclass(frozen=True)
+class Selected(Average):
+    """The value where there is only one."""
+
+    def together(self, star, named, by, context, cards):
+        return shapes.single_values(_grouped(star, self.fact, by, context), by, {n: k.column for n, k in named.items()})
+
+
+@dataclass(frozen=True)
+class Point(Average):
     """The value (or its label) on the last date of each series, null on its other dates."""
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
+
+    def together(self, star, named, by, context, cards):
         series = _series_of(by)
-        daily = shapes.by_date(_grouped(star, fact, by, context), series, {"_value": column})
-        return daily.select(*by, show(shapes.last_point(series, "_value")).alias(name))
-    return evaluate
+        columns = dict.fromkeys(k.column for k in named.values())
+        daily = shapes.by_date(_grouped(star, self.fact, by, context), series, {f"_{c}": c for c in columns})
+        return daily.select(*by, *[k.show(shapes.last_point(series, f"_{k.column}")).alias(n) for n, k in named.items()])
 
 
-def highlight(column: str) -> Evaluate:
+@dataclass(frozen=True)
+class Highlight(Kind):
     """Start of the highlight, or the part of the series before or after it."""
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
+
+    part: str
+
+    def batch(self) -> tuple:
+        return (type(self),)
+
+    def together(self, star, named, by, context, cards):
         series = _series_of(by)
-        daily = shapes.by_date(
-            _grouped(star, "expectations", by, context), series, {"_value": "mediana"})
-        split = shapes.with_highlight(
-            daily, series, "_value", "highlight_start", "median_history", "median_recent")
-        return split.select(*by, column)
-    return evaluate
+        daily = shapes.by_date(_grouped(star, "expectations", by, context), series, {"_value": "mediana"})
+        split = shapes.with_highlight(daily, series, "_value", "highlight_start", "median_history", "median_recent")
+        return split.select(*by, *[F.col(k.part).alias(n) for n, k in named.items()])
+
+
+def _spread(groups: DataFrame, found: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
+    """Each group with the values found for these columns of it, nulls included; without columns there
+    is one row of values, which is a scalar."""
+    if not columns:
+        value = found.select(F.struct(*names)).scalar()
+        return groups.withColumn("_found", value).select("*", *[f"_found.{n}" for n in names]).drop("_found")
+    renamed = found.select(*[F.col(c).alias(f"_of_{c}") for c in columns], *names)
+    on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
+    return groups.join(renamed, on).drop(*[f"_of_{c}" for c in columns])
+
+
+@dataclass(frozen=True)
+class Card(Kind):
+    """An indicator's value on its own last date, for the card year (and base).
+
+    The fixed columns replace the context's filters on them, and a group by one of them too:
+    all its groups show the value. The indicator is a shared dimension, whose groups still filter.
+    """
+
+    fact: str
+    column: str
+    indicator: str
+
+    def batch(self) -> tuple:
+        return type(self), self.fact
+
+    def fixed(self, cards: Cards) -> dict[str, Column]:
+        columns = {"ano_referencia": F.col("ano_referencia") == cards.year}
+        return columns | {"base_calculo": F.col("base_calculo") == cards.base} if self.fact == "expectations" else columns
+
+    def together(self, star, named, by, context, cards):
+        _free_of_calendar(star, by)
+        fixed = self.fixed(cards)
+        mine = F.col("indicador").isin(*(k.indicator for k in named.values()))
+        kept = [c for c in by if c not in fixed]
+        narrowed = context.without_calendar().fixing(self.fact, {**fixed, "indicador": mine})
+        rows = dimension_columns(star, rows_in(star, self.fact, narrowed), kept).withColumn("_card", F.col("indicador"))
+        counts = shapes.is_filled(F.col(self.column)) if self.fact == "expectations" else None
+        found = shapes.as_of_own_last_date(rows, [*kept, "_card"], {"_value": self.column}, counts)
+        found = found.groupBy(*kept).agg(*[
+            F.max(F.when(F.col("_card") == k.indicator, F.col("_value"))).alias(n) for n, k in named.items()])
+        if len(kept) == len(by):
+            return found
+        groups = _grouped(star, self.fact, by, context).select(*by).distinct()
+        return _spread(groups, found, kept, list(named))
+
+
+@dataclass(frozen=True)
+class OnLastDate(Average):
+    """Average on the last date of the whole fact; groups without a row that day are absent (blank)."""
+
+    def together(self, star, named, by, context, cards):
+        rows = shapes.on_last_date_of(_grouped(star, self.fact, by, context), getattr(star, self.fact))
+        return shapes.averages(rows, by, {n: k.column for n, k in named.items()})
+
+
+@dataclass(frozen=True)
+class CurrentRate(Average):
+    """Average on the last date without calendar filters; the rows averaged still obey them.
+    Groups by the fact's own columns have a last date each, groups by the calendar have not."""
+
+    def together(self, star, named, by, context, cards):
+        rows, within = inside(star, self.fact, context)
+        own = [c for c in by if c not in _of_calendar(star, by)]
+        return shapes.as_of_last_date_of(
+            dimension_columns(star, rows, by), by, own, {n: k.column for n, k in named.items()}, within)
+
+
+@dataclass(frozen=True)
+class Alone(Kind):
+    """A measure of its own kind."""
+
+    evaluate: Callable[[Star, list[str], Context], DataFrame]
+
+    def together(self, star, named, by, context, cards):
+        return self.evaluate(star, by, context)
+
+
+@dataclass(frozen=True)
+class Measure:
+    number: int
+    kind: Kind
 
 
 def divergence(star: Star, by: list[str], context: Context) -> DataFrame:
     """Top 5 median minus market median, each over its own fact. Only the shared dimensions
     reach both facts; a column that each fact has for itself would filter one of them."""
-    own = [c for c in by if c != "indicador" and c not in star.calendar.columns]
+    own = [c for c in by if c not in star.indicators.columns and c not in star.calendar.columns]
     if own:
         raise ValueError(f"not a shared dimension: {own}")
     return shapes.mean_difference(
@@ -102,53 +223,10 @@ def last_survey_date(star: Star, by: list[str], context: Context) -> DataFrame:
 
 def last_median(star: Star, by: list[str], context: Context) -> DataFrame:
     _free_of_calendar(star, by)
-    rows = rows_in(star, "expectations", context.without_calendar())
+    rows = _grouped(star, "expectations", by, context.without_calendar())
     return shapes.filled_last_date(rows, by, "mediana", "kpi_last_median").drop("data")
 
 
-def median_card(indicator: str, name: str) -> Evaluate:
-    """The last median of one indicator for the card year and base."""
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
-        mine = ((F.col("indicador") == indicator) & (F.col("ano_referencia") == CARD_YEAR)
-                & (F.col("base_calculo") == CARD_BASE))
-        found = last_median(star, by, context.and_fact("expectations", mine))
-        return found.withColumnRenamed("kpi_last_median", name)
-    return evaluate
-
-
-def divergence_card(indicator: str, name: str) -> Evaluate:
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
-        _free_of_calendar(star, by)
-        mine = (F.col("indicador") == indicator) & (F.col("ano_referencia") == CARD_YEAR)
-        rows = rows_in(star, "comparison", context.without_calendar().and_fact("comparison", mine))
-        values = {name: "divergencia_top5_mercado"}
-        return shapes.as_of_own_last_date(rows, by, values).drop("data")
-    return evaluate
-
-
-def on_global_last_date(column: str, name: str) -> Evaluate:
-    """Average on the last date of the whole fact; groups without a row that day are absent (blank)."""
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
-        rows = _grouped(star, "comparison", by, context)
-        return shapes.averages(shapes.on_last_date_of(rows, star.comparison), by, {name: column})
-    return evaluate
-
-
-def current_rate(column: str, name: str) -> Evaluate:
-    """Average on the last date without calendar filters; the rows averaged still obey them."""
-    def evaluate(star: Star, by: list[str], context: Context) -> DataFrame:
-        rows = _grouped(star, "real_rate", by, context)
-        whole = rows_in(star, "real_rate", context.without_calendar())
-        return shapes.averages(shapes.on_last_date_of(rows, whole), by, {name: column})
-    return evaluate
-
-
-def divergence_sign(star: Star, by: list[str], context: Context) -> DataFrame:
-    rows = _grouped(star, "comparison", by, context)
-    spread = shapes.averages(rows, by, {"_spread": "divergencia_top5_mercado"})
-    return spread.select(*by, divergence_colour(F.col("_spread")).alias("divergence_colour"))
-
-
 def table_sign(star: Star, by: list[str], context: Context) -> DataFrame:
     """Three-way colour; a group that is blank on the last date still has the neutral one."""
     rows = _grouped(star, "comparison", by, context)
@@ -171,58 +249,59 @@ def latest_text(star: Star, by: list[str] | None = None,
 
 
 MEASURES: dict[str, Measure] = {
-    "median_market": Measure(1, average("expectations", "mediana", "median_market")),
-    "median_top5": Measure(2, average("comparison", "mediana_top5", "median_top5")),
-    "divergence": Measure(3, divergence),
-    "real_rate": Measure(4, selected("real_rate", "taxa_juro_real_ex_ante", "real_rate")),
-    "policy_rate": Measure(5, selected("real_rate", "taxa_selic_meta_aa", "policy_rate")),
-    "last_percent_label": Measure(
-        6, point("expectations", "mediana", "last_percent_label", percent_label)),
-    "highlight_start": Measure(7, highlight("highlight_start")),
-    "median_history": Measure(8, highlight("median_history")),
-    "median_recent": Measure(9, highlight("median_recent")),
-    "last_currency_label": Measure(
-        10, point("expectations", "mediana", "last_currency_label", currency_label)),
-    "last_point": Measure(11, point("expectations", "mediana", "last_point")),
-    "last_survey_date": Measure(12, last_survey_date),
-    "kpi_last_median": Measure(13, last_median),
-    "kpi_ipca": Measure(14, median_card("IPCA", "kpi_ipca")),
-    "kpi_selic": Measure(15, median_card("Selic", "kpi_selic")),
-    "kpi_pib": Measure(16, median_card("PIB Total", "kpi_pib")),
-    "kpi_dolar": Measure(17, median_card("Câmbio", "kpi_dolar")),
-    "comparison_market": Measure(
-        18, average("comparison", "mediana_mercado", "comparison_market")),
-    "top5_label": Measure(19, point("comparison", "mediana_top5", "top5_label", percent_label)),
-    "market_label": Measure(
-        20, point("comparison", "mediana_mercado", "market_label", percent_label)),
-    "top5_point": Measure(21, point("comparison", "mediana_top5", "top5_point")),
-    "market_point": Measure(22, point("comparison", "mediana_mercado", "market_point")),
-    "spread": Measure(23, average("comparison", "divergencia_top5_mercado", "spread")),
-    "divergence_colour": Measure(24, divergence_sign),
-    "kpi_divergence_ipca": Measure(25, divergence_card("IPCA", "kpi_divergence_ipca")),
-    "kpi_divergence_selic": Measure(26, divergence_card("Selic", "kpi_divergence_selic")),
-    "market_last_date": Measure(27, on_global_last_date("mediana_mercado", "market_last_date")),
-    "top5_last_date": Measure(28, on_global_last_date("mediana_top5", "top5_last_date")),
-    "divergence_last_date": Measure(
-        29, on_global_last_date("divergencia_top5_mercado", "divergence_last_date")),
-    "table_colour": Measure(30, table_sign),
-    "kpi_policy_rate": Measure(31, current_rate("taxa_selic_meta_aa", "kpi_policy_rate")),
-    "kpi_inflation": Measure(32, current_rate("ipca_esperado_12m", "kpi_inflation")),
-    "kpi_real_rate": Measure(33, current_rate("taxa_juro_real_ex_ante", "kpi_real_rate")),
-    "real_rate_history": Measure(
-        34, average("real_rate", "taxa_juro_real_ex_ante", "real_rate_history")),
-    "real_rate_point": Measure(35, point("real_rate", "taxa_juro_real_ex_ante", "real_rate_point")),
-    "policy_rate_history": Measure(
-        36, average("real_rate", "taxa_selic_meta_aa", "policy_rate_history")),
-    "policy_rate_point": Measure(37, point("real_rate", "taxa_selic_meta_aa", "policy_rate_point")),
-    "inflation_history": Measure(38, average("real_rate", "ipca_esperado_12m", "inflation_history")),
-    "inflation_point": Measure(39, point("real_rate", "ipca_esperado_12m", "inflation_point")),
-    "latest_text": Measure(40, latest_text),
+    "median_market": Measure(1, Average("expectations", "mediana")),
+    "median_top5": Measure(2, Average("comparison", "mediana_top5")),
+    "divergence": Measure(3, Alone(divergence)),
+    "real_rate": Measure(4, Selected("real_rate", "taxa_juro_real_ex_ante")),
+    "policy_rate": Measure(5, Selected("real_rate", "taxa_selic_meta_aa")),
+    "last_percent_label": Measure(6, Point("expectations", "mediana", percent_label)),
+    "highlight_start": Measure(7, Highlight("highlight_start")),
+    "median_history": Measure(8, Highlight("median_history")),
+    "median_recent": Measure(9, Highlight("median_recent")),
+    "last_currency_label": Measure(10, Point("expectations", "mediana", currency_label)),
+    "last_point": Measure(11, Point("expectations", "mediana")),
+    "last_survey_date": Measure(12, Alone(last_survey_date)),
+    "kpi_last_median": Measure(13, Alone(last_median)),
+    "kpi_ipca": Measure(14, Card("expectations", "mediana", "IPCA")),
+    "kpi_selic": Measure(15, Card("expectations", "mediana", "Selic")),
+    "kpi_pib": Measure(16, Card("expectations", "mediana", "PIB Total")),
+    "kpi_dolar": Measure(17, Card("expectations", "mediana", "Câmbio")),
+    "comparison_market": Measure(18, Average("comparison", "mediana_mercado")),
+    "top5_label": Measure(19, Point("comparison", "mediana_top5", percent_label)),
+    "market_label": Measure(20, Point("comparison", "mediana_mercado", percent_label)),
+    "top5_point": Measure(21, Point("comparison", "mediana_top5")),
+    "market_point": Measure(22, Point("comparison", "mediana_mercado")),
+    "spread": Measure(23, Average("comparison", "divergencia_top5_mercado")),
+    "divergence_colour": Measure(24, Average("comparison", "divergencia_top5_mercado", divergence_colour)),
+    "kpi_divergence_ipca": Measure(25, Card("comparison", "divergencia_top5_mercado", "IPCA")),
+    "kpi_divergence_selic": Measure(26, Card("comparison", "divergencia_top5_mercado", "Selic")),
+    "market_last_date": Measure(27, OnLastDate("comparison", "mediana_mercado")),
+    "top5_last_date": Measure(28, OnLastDate("comparison", "mediana_top5")),
+    "divergence_last_date": Measure(29, OnLastDate("comparison", "divergencia_top5_mercado")),
+    "table_colour": Measure(30, Alone(table_sign)),
+    "kpi_policy_rate": Measure(31, CurrentRate("real_rate", "taxa_selic_meta_aa")),
+    "kpi_inflation": Measure(32, CurrentRate("real_rate", "ipca_esperado_12m")),
+    "kpi_real_rate": Measure(33, CurrentRate("real_rate", "taxa_juro_real_ex_ante")),
+    "real_rate_history": Measure(34, Average("real_rate", "taxa_juro_real_ex_ante")),
+    "real_rate_point": Measure(35, Point("real_rate", "taxa_juro_real_ex_ante")),
+    "policy_rate_history": Measure(36, Average("real_rate", "taxa_selic_meta_aa")),
+    "policy_rate_point": Measure(37, Point("real_rate", "taxa_selic_meta_aa")),
+    "inflation_history": Measure(38, Average("real_rate", "ipca_esperado_12m")),
+    "inflation_point": Measure(39, Point("real_rate", "ipca_esperado_12m")),
+    "latest_text": Measure(40, Alone(latest_text)),
 }
 
 
+def measures(names: list[str], star: Star, by: list[str] | None = None, context: Context = EVERYTHING,
+             cards: Cards = Cards()) -> DataFrame:
+    """Several measures of one kind over one fact: their columns beside the groups, from one aggregate."""
+    named = {n: MEASURES[n].kind for n in names}
+    if len({k.batch() for k in named.values()}) != 1:
+        raise ValueError(f"not measures of one kind over one fact: {names}")
+    return named[names[0]].together(star, named, by or [], context, cards)
+
+
 def measure(name: str, star: Star, by: list[str] | None = None,
-            context: Context = EVERYTHING) -> DataFrame:
-    """Evaluate one measure. Reports that need several along one fact use ``reports`` instead,
-    which takes them from a single aggregate."""
-    return MEASURES[name].evaluate(star, by or [], context)
+            context: Context = EVERYTHING, cards: Cards = Cards()) -> DataFrame:
+    """Evaluate one measure."""
+    return measures([name], star, by, context, cards)

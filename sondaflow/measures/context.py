@@ -42,14 +42,15 @@ class Context:
     ``days``      inclusive range on the calendar's date; either end may be open
     ``calendar``  predicate on the calendar's other attributes
     ``indicator`` predicate on the indicator dimension
-    ``facts``     predicate on a fact's own columns, by the fact's name in ``Star``;
-                  it filters that fact only
+    ``facts``     filters on a fact's own columns, by the fact's name in ``Star``; they filter
+                  that fact only. Given by column, ``{"expectations": {"ano_referencia": …}}``,
+                  a measure that fixes the column replaces them; a bare predicate stays
     """
 
     days: tuple[date | None, date | None] | None = None
     calendar: Column | None = None
     indicator: Column | None = None
-    facts: Mapping[str, Column] = field(default_factory=dict)
+    facts: Mapping[str, Column | Mapping[str, Column]] = field(default_factory=dict)
 
     def without_day(self) -> "Context":
         """Only the filter on the calendar's date is removed; its other attributes still filter."""
@@ -58,10 +59,19 @@ class Context:
     def without_calendar(self) -> "Context":
         return replace(self, days=None, calendar=None)
 
+    def of_fact(self, fact: str) -> dict[str, Column]:
+        """The fact's filters by column; one that is not given by column stands under no name."""
+        given = self.facts.get(fact, {})
+        return {"": given} if isinstance(given, Column) else dict(given)
+
     def and_fact(self, fact: str, predicate: Column) -> "Context":
-        before = self.facts.get(fact)
-        both = predicate if before is None else before & predicate
-        return replace(self, facts={**self.facts, fact: both})
+        own = self.of_fact(fact)
+        own[""] = own[""] & predicate if "" in own else predicate
+        return replace(self, facts={**self.facts, fact: own})
+
+    def fixing(self, fact: str, columns: Mapping[str, Column]) -> "Context":
+        """Filters on these columns of the fact in place of those that were on them."""
+        return replace(self, facts={**self.facts, fact: {**self.of_fact(fact), **columns}})
 
 
 EVERYTHING = Context()
@@ -80,7 +90,9 @@ def rows_in(star: Star, name: str, context: Context = EVERYTHING) -> DataFrame:
     fact = getattr(star, name)
     if fact is None:
         raise ValueError(f"the star was built without its {name} fact")
-    rows = fact.filter(context.facts[name]) if name in context.facts else fact
+    rows = fact
+    for predicate in context.of_fact(name).values():
+        rows = rows.filter(predicate)
     if context.days is not None:
         first, last = context.days
         if first is not None:
@@ -94,9 +106,31 @@ def rows_in(star: Star, name: str, context: Context = EVERYTHING) -> DataFrame:
     return rows
 
 
-def calendar_columns(star: Star, rows: DataFrame, by: list[str]) -> DataFrame:
-    """Bring in the calendar attributes that a grouping names and the fact does not have."""
+def inside(star: Star, name: str, context: Context) -> tuple[DataFrame, Column]:
+    """The rows that the context leaves without its calendar filters, and a column that tells
+    which of them those filters leave too."""
+    rows, within = rows_in(star, name, context.without_calendar()), F.lit(True)
+    for day, compare in zip(context.days or (None, None), (F.col("data").__ge__, F.col("data").__le__)):
+        if day is not None:
+            within = within & compare(F.lit(day))
+    if context.calendar is not None:
+        marked = star.calendar.filter(context.calendar).select("data_sk", F.lit(True).alias("_marked"))
+        rows = rows.join(marked, "data_sk", "left")
+        within = within & F.coalesce("_marked", F.lit(False))
+    return rows, within
+
+
+def dimension_columns(star: Star, rows: DataFrame, by: list[str]) -> DataFrame:
+    """Bring in the attributes of the calendar and of the indicators that a grouping names and
+    the fact does not have."""
     wanted = [c for c in by if c not in rows.columns]
-    if not wanted:
-        return rows
-    return rows.join(star.calendar.select("data_sk", *wanted), "data_sk", "left")
+    of_day = [c for c in wanted if c in star.calendar.columns]
+    of_indicator = [c for c in wanted if c not in of_day and c in star.indicators.columns]
+    unknown = [c for c in wanted if c not in of_day and c not in of_indicator]
+    if unknown or of_indicator and "indicador" not in rows.columns:
+        raise ValueError(f"the fact cannot be grouped by {unknown or of_indicator}")
+    if of_day:
+        rows = rows.join(star.calendar.select("data_sk", *of_day), "data_sk", "left")
+    if of_indicator:
+        rows = rows.join(star.indicators.select("indicador", *of_indicator), "indicador", "left")
+    return rows

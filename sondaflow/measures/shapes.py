@@ -7,18 +7,16 @@ are already reduced to one row per date.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sondaflow.functions.numbers import blank_minus, fixed_sum, is_filled, mean, mean_of, single_value
+from sondaflow.functions.numbers import blank_minus, is_filled, mean_of, single_value
 
 
 # ---------------------------------------------------------------- groups
 
 def averages(rows: DataFrame, by: list[str], values: dict[str, str]) -> DataFrame:
     """AVERAGE of each column in one aggregate: ``values`` maps measure name to column."""
-    return rows.groupBy(*by).agg(*[mean(F.col(c)).alias(name) for name, c in values.items()])
+    return rows.groupBy(*by).agg(*[F.avg(c).alias(name) for name, c in values.items()])
 
 
 def single_values(rows: DataFrame, by: list[str], values: dict[str, str]) -> DataFrame:
@@ -105,7 +103,7 @@ def as_of_own_last_date(rows: DataFrame, by: list[str], values: dict[str, str],
     columns = list(dict.fromkeys(values.values()))
     reduced = rows.groupBy(*by, "data").agg(
         F.max(F.when(eligible, 1)).alias("_eligible"),
-        *[fixed_sum(F.col(c)).alias(f"_sum_{c}") for c in columns],
+        *[F.sum(c).alias(f"_sum_{c}") for c in columns],
         *[F.count(c).alias(f"_count_{c}") for c in columns])
     # Dates are unique within a group here, and each part alone fits a hash aggregate.
     parts = [f"_{part}_{c}" for part in ("sum", "count") for c in columns]
@@ -122,17 +120,34 @@ def filled_last_date(rows: DataFrame, by: list[str], value: str, name: str) -> D
     return as_of_own_last_date(rows, by, {name: value}, is_filled(F.col(value)))
 
 
-def last_day_of(rows: DataFrame) -> date | None:
-    """The last date, read now: one maximum over one column, one value to the driver."""
-    return rows.agg(F.max("data").alias("day")).first().day
-
-
 def on_last_date_of(rows: DataFrame, whole: DataFrame) -> DataFrame:
     """Rows on the last date of ``whole`` (a wider selection of the same fact).
 
-    The date is looked up first and put in as a constant. A constant reaches the
-    file scan, which then skips all row groups and pages of other days; a join
-    or a subquery would read the whole fact.
+    The date is a scalar subquery: one maximum over one column, whose value the
+    scan of the rows then uses to skip row groups of other days.
     """
-    day = last_day_of(whole)
-    return rows.filter(F.lit(False) if day is None else F.col("data") == F.lit(day))
+    return rows.filter(F.col("data") == whole.agg(F.max("data")).scalar())
+
+
+def as_of_last_date_of(rows: DataFrame, by: list[str], within: list[str], values: dict[str, str],
+                       inside: Column) -> DataFrame:
+    """Averages of the rows that are ``inside``, on the last date that all rows of the same
+    ``within`` columns have. One scan: inner and outer rows are told apart in the aggregate."""
+    columns = list(dict.fromkeys(values.values()))
+    reduced = rows.groupBy(*dict.fromkeys([*within, *by]), "data").agg(
+        F.max(F.when(inside, 1)).alias("_inside"),
+        *[F.sum(F.when(inside, F.col(c))).alias(f"_sum_{c}") for c in columns],
+        *[F.count(F.when(inside, F.col(c))).alias(f"_count_{c}") for c in columns])
+    parts = [f"_{part}_{c}" for part in ("sum", "count") for c in columns]
+    if not by:
+        # One group, in which dates are unique after the first aggregate.
+        last = reduced.groupBy().agg(*[F.max_by(p, "data").alias(p) for p in parts])
+        return last.select(*[mean_of(F.col(f"_sum_{c}"), F.col(f"_count_{c}")).alias(n) for n, c in values.items()])
+    if not within:
+        last = reduced.filter(F.col("data") == rows.agg(F.max("data")).scalar())
+    else:
+        ends = reduced.groupBy(*within).agg(F.max("data").alias("_end"))
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in within]
+        last = reduced.alias("r").join(ends.alias("e"), [*same, F.col("r.data") == F.col("e._end")]).select("r.*")
+    last = last.filter("_inside = 1").groupBy(*by).agg(*[F.sum(p).alias(p) for p in parts])
+    return last.select(*by, *[mean_of(F.col(f"_sum_{c}"), F.col(f"_count_{c}")).alias(name) for name, c in values.items()])

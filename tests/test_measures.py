@@ -1,3 +1,4 @@
+import math
 from datetime import date, timedelta
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sondaflow import reports
 from sondaflow.measures import shapes
-from sondaflow.measures.catalogue import LATEST_PREFIX, MEASURES, measure
+from sondaflow.measures.catalogue import LATEST_PREFIX, MEASURES, Cards, measure, measures
 from sondaflow.measures.context import Context, Star
 from sondaflow.operators import dims
 
@@ -227,12 +228,63 @@ def test_values_do_not_depend_on_partitioning(spark, star):
             measure(name, shuffled, ["indicador"]), "indicador")
 
 
-def test_last_date_constant_reaches_the_scan(spark, star, tmp_path):
+def test_the_last_date_skips_row_groups_without_a_job(spark, tmp_path):
     path = str(tmp_path / "fact")
-    star.comparison.write.parquet(path)
+    days = spark.range(0, 200_000, numPartitions=1).select(
+        F.date_add(F.lit(D1), (F.col("id") / 400).cast("int")).alias("data"), F.rand(1).alias("v"))
+    days.write.option("parquet.block.size", 64 << 10).parquet(path)
     fact = spark.read.parquet(path)
-    plan = shapes.on_last_date_of(fact, fact)._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(data,2024-02-20)" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan is then the one that ran
+    try:
+        latest = shapes.on_last_date_of(fact, fact)
+        assert len(latest.collect()) == 400
+        scan = latest._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().get("numOutputRows").get().value() < 100_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_averages_keep_all_digits(spark):
+    rows = [("small", 0.00004), ("small", 0.00004), ("large", 2e14), ("large", 2e14), ("nan", float("nan")), ("nan", 1.0),
+            ("none", None), ("some", None), ("some", 3.0)]
+    found = values(shapes.averages(spark.createDataFrame(rows, "k string, v double"), ["k"], {"m": "v"}), "k")
+    assert math.isnan(found.pop("nan"))
+    assert found == {"small": 0.00004, "large": 2e14, "none": None, "some": 3.0}
+
+
+def test_cards_replace_filters_and_groups_of_their_columns(star):
+    later = Context(facts={"expectations": {"ano_referencia": F.col("ano_referencia") == 2027}})
+    plain_value = alone(measure("kpi_ipca", star))
+    assert plain_value is not None and alone(measure("kpi_ipca", star, [], later)) == plain_value
+    by_year = values(measure("kpi_ipca", star, ["ano_referencia"]), "ano_referencia")
+    assert set(by_year.values()) == {plain_value} and set(by_year) == {2026, 2027}
+    assert values(measure("kpi_ipca", star, ["ano_referencia"], later), "ano_referencia") == {2027: plain_value}
+    assert values(measure("kpi_ipca", star, ["indicador"]), "indicador") == {"IPCA": plain_value}
+    other = alone(measure("kpi_ipca", star, cards=Cards(2027, 0)))
+    assert other == alone(measure("kpi_last_median", star, [], Context(
+        indicator=F.col("indicador") == "IPCA",
+        facts={"expectations": {"a": F.col("ano_referencia") == 2027, "b": F.col("base_calculo") == 0}})))
+
+
+def test_rates_have_a_last_date_for_each_group_of_the_fact(star):
+    rates = {r.taxa_selic_meta_aa: r.taxa_juro_real_ex_ante for r in star.real_rate.collect()}
+    assert values(measure("kpi_real_rate", star, ["taxa_selic_meta_aa"]), "taxa_selic_meta_aa") == rates
+    assert len(values(measure("kpi_real_rate", star, ["ano_mes"]), "ano_mes")) == 1
+
+
+def test_indicator_attributes_are_groups(star):
+    by_unit = values(measure("median_market", star, ["unidade_medida"]), "unidade_medida")
+    assert "R$/US$" in by_unit and by_unit["R$/US$"] == pytest.approx(7.0617)
+    assert values(measure("divergence", star, ["unidade_medida"]), "unidade_medida")["R$/US$"] == pytest.approx(-7.0617)
+    with pytest.raises(ValueError, match="cannot be grouped"):
+        measure("policy_rate", star, ["unidade_medida"])
+
+
+def test_several_measures_are_one_kind(star):
+    both = measures(["spread", "divergence_colour"], star, ["indicador"])
+    assert both.columns == ["indicador", "spread", "divergence_colour"]
+    with pytest.raises(ValueError, match="one kind"):
+        measures(["spread", "median_market"], star)
 
 
 # ---------------------------------------------------------------- reports

@@ -16,7 +16,9 @@ WRITING = {"landed_survey", "load_audit", "curation_audit", "refreshed_tables"}
 SINGLE = {"gate_metrics", "gate_metrics_clean", "duplicate_keys", "freshness_gate", "volume_gate",
           "join_fan_out", "test_not_null", "data_tests", "measure_cards", "last_date_colours",
           "rate_kpis_in_context", "rate_series", "report_rate_charts", "report_rate_cards",
-          "report_latest_observation"}
+          "report_latest_observation", "cards_in_conflict", "rate_points"}
+# The last date of a whole fact is a scalar subquery, which gets one row per task.
+LAST_DATE = {"last_date_divergence", "last_date_means", "rates_by_year", "report_comparison_table"}
 
 
 def plan_of(spark, name):
@@ -29,18 +31,41 @@ def test_no_plan_has_an_unscalable_operator(spark, name):
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "Python",
                      "InMemoryTableScan", "ObjectHashAggregate"):
         assert operator not in plan
-    if name not in SINGLE:
+    if name not in SINGLE | LAST_DATE:
         assert "SinglePartition" not in plan
 
 
 @pytest.mark.parametrize("name, shuffles", [
     ("curated_market", 1), ("fact_expectations", 1), ("gate_metrics", 1), ("median_by_series", 1),
-    ("cross_fact_divergence", 1), ("single_values", 1), ("last_date_divergence", 1),
+    ("cross_fact_divergence", 1), ("single_values", 1),
     ("highlight_series", 2), ("kpi_last_median", 2), ("kpi_divergence", 2), ("test_unique", 1)])
 def test_shuffles(spark, name, shuffles):
     assert len(re.findall(r"Exchange (hash|Single|range)", plan_of(spark, name))) == shuffles
 
 
+def test_several_measures_share_a_scan(spark):
+    """One scan per fact: the cards of a fact, and the rates on their last date, are one aggregate."""
+    assert plan_of(spark, "measure_cards").count("FileScan") == 3
+    for name in ("single_rates", "divergence_signs", "comparison_means", "comparison_points", "rate_histories"):
+        plan = plan_of(spark, name)
+        assert len(re.findall(r"FileScan parquet .*(real_rate|comparison)-", plan)) == 1
+        assert len(re.findall(r"Exchange hash", plan)) <= 2
+    assert len(re.findall(r"Exchange hash", plan_of(spark, "last_date_divergence"))) == 1
+
+
+def test_building_a_query_over_built_marts_starts_no_job(spark):
+    names = set(QUERIES) - WRITING
+    for name in names:
+        QUERIES[name](spark, FOLDER)
+    spark.sparkContext.setJobGroup("plans", "built only")
+    try:
+        for name in names:
+            QUERIES[name](spark, FOLDER)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+
+
 def test_report_filters_and_columns_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:

@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from sondaflow.plans import catalog
 from sondaflow.specs import ColumnTest
+from workload.means import MEANS
 
 # ------------------------------------------------------------ expressions
 
 def mean(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,4))) AS DOUBLE) / count({column})"
+    return f"avg({column})"
 
 
 def two_digits(value: str) -> str:
-    return f"CAST(CAST({value} AS DECIMAL(38,8)) AS DECIMAL(32,2))"
+    """Rounded from the first fifteen significant digits."""
+    return f"CAST(CAST(printf('%.14e', {value}) AS DECIMAL(38,18)) AS DECIMAL(22,2))"
 
 
 def number_text(value: str) -> str:
     return f"replace(CAST({two_digits(value)} AS VARCHAR), '.', ',')"
 
 
+def currency_text(value: str) -> str:
+    """Digits in groups of three, counted from the comma."""
+    plain = f"ltrim({number_text(value)}, '-')"
+    grouped = f"ltrim(reverse(regexp_replace(reverse({plain}), '([0-9]{{3}})', '\\1.', 'g')), '.')"
+    return f"CASE WHEN {two_digits(value)} < 0 THEN '-' ELSE '' END || 'R$ ' || {grouped}"
+
+
 def date_key(day: str) -> str:
     return f"CAST(strftime({day}, '%Y%m%d') AS INT)"
 
@@ -311,6 +320,8 @@ LINES_MONTHS = "data BETWEEN DATE '2001-06-01' AND DATE '2001-11-30'"
 NEWS_MONTHS = "data BETWEEN DATE '2023-08-01' AND DATE '2024-01-31'"
 RATE_MONTHS = "data BETWEEN DATE '2001-02-02' AND DATE '2001-08-01'"
 
+CARD_INDICATORS = (("kpi_ipca", "IPCA"), ("kpi_selic", "Selic"), ("kpi_pib", "PIB Total"), ("kpi_dolar", "Câmbio"))
+
 ORACLES: dict[str, str] = {
     "curated_survey": with_tables(
         "SELECT * EXCLUDE (loaded), loaded AS _bronze_ingestion_timestamp FROM news", "news"),
@@ -465,6 +476,81 @@ ORACLES: dict[str, str] = {
                                  ("kpi_inflation", "ipca_esperado_12m"),
                                  ("kpi_real_rate", "taxa_juro_real_ex_ante"))),
         "news_expectations", "news_comparison", "real_rate"),
+    "cards_in_conflict": with_tables(f"""
+        cards AS (SELECT {", ".join(f"""
+            (SELECT avg(mediana) FROM news_expectations WHERE indicador = '{i}' AND ano_referencia = 2025
+               AND base_calculo = 0 AND data = (
+                 SELECT max(data) FROM news_expectations WHERE indicador = '{i}' AND ano_referencia = 2025
+                    AND base_calculo = 0 AND mediana <> 0)) AS {n}""" for n, i in CARD_INDICATORS)}),
+        years AS (SELECT DISTINCT ano_referencia, base_calculo FROM news_expectations)
+        SELECT 'filtered' AS context, CAST(NULL AS INT) AS ano_referencia, * FROM cards
+        UNION ALL SELECT 'grouped', ano_referencia, cards.* FROM (SELECT DISTINCT ano_referencia FROM years), cards
+        UNION ALL SELECT 'both', ano_referencia, cards.* FROM years, cards
+                  WHERE ano_referencia = 2027 AND base_calculo = 0""", "news_expectations"),
+    "divergence_cards_by_signal": with_tables(f"""
+        chosen AS (SELECT * FROM news_comparison WHERE ano_referencia = 2026 AND indicador IN ('IPCA', 'Selic')),
+        ends AS (SELECT sinal_posicionamento, indicador, max(data) AS last_day FROM chosen GROUP BY ALL),
+        means AS (SELECT sinal_posicionamento, indicador, avg(divergencia_top5_mercado) AS v
+                  FROM chosen JOIN ends USING (sinal_posicionamento, indicador) WHERE data = last_day GROUP BY ALL),
+        cards AS (SELECT sinal_posicionamento, max(v) FILTER (WHERE indicador = 'IPCA') AS kpi_divergence_ipca,
+                         max(v) FILTER (WHERE indicador = 'Selic') AS kpi_divergence_selic FROM means GROUP BY 1)
+        SELECT DISTINCT ano_referencia, sinal_posicionamento, kpi_divergence_ipca, kpi_divergence_selic
+        FROM news_comparison JOIN cards USING (sinal_posicionamento)""", "news_comparison"),
+    "rates_by_policy_rate": with_tables("""
+        ends AS (SELECT taxa_selic_meta_aa, max(data) AS last_day FROM real_rate GROUP BY 1)
+        SELECT taxa_selic_meta_aa, avg(taxa_selic_meta_aa) AS kpi_policy_rate, avg(ipca_esperado_12m) AS kpi_inflation,
+               avg(taxa_juro_real_ex_ante) AS kpi_real_rate
+        FROM real_rate JOIN ends USING (taxa_selic_meta_aa) WHERE data = last_day GROUP BY 1""", "real_rate"),
+    "rates_by_year": with_tables("""
+        SELECT CAST(year(data) AS INT) AS ano, avg(taxa_selic_meta_aa) AS kpi_policy_rate,
+               avg(ipca_esperado_12m) AS kpi_inflation, avg(taxa_juro_real_ex_ante) AS kpi_real_rate
+        FROM real_rate WHERE data = (SELECT max(data) FROM real_rate) GROUP BY 1""", "real_rate"),
+    "medians_by_unit": with_tables("""
+        m AS (SELECT unidade_medida, periodicidade, avg(mediana) AS median_market
+              FROM news_expectations JOIN indicators USING (indicador) GROUP BY ALL),
+        t AS (SELECT unidade_medida, periodicidade, avg(mediana_top5) AS top5
+              FROM news_comparison JOIN indicators USING (indicador) GROUP BY ALL)
+        SELECT unidade_medida, periodicidade, median_market,
+               coalesce(top5, 0) - coalesce(median_market, 0) AS divergence
+        FROM m LEFT JOIN t USING (unidade_medida, periodicidade)""",
+        "news_expectations", "news_comparison", "indicators"),
+    "precise_means": """
+        SELECT o_orderpriority, avg(o_totalprice / CAST(7e9 AS DOUBLE)) AS mean_small,
+               avg(o_totalprice * CAST(1e11 AS DOUBLE)) AS mean_large FROM orders GROUP BY 1""",
+    "label_texts": f"""
+        WITH v AS (SELECT l_orderkey, l_linenumber, l_extendedprice * pow(CAST(10 AS DOUBLE), l_linenumber - 5)
+                          * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS x FROM lineitem)
+        SELECT l_orderkey, l_linenumber, {number_text('x')} || '%' AS percent, {currency_text('x')} AS currency,
+               CASE WHEN {two_digits('x / CAST(1e4 AS DOUBLE)')} > 0 THEN '+' ELSE '' END
+                 || {number_text('x / CAST(1e4 AS DOUBLE)')} || ' p.p.' AS points FROM v""",
+    "news_points": with_tables(f"""
+        daily AS (SELECT indicador, ano_referencia, data, avg(mediana) AS m FROM news_expectations GROUP BY ALL),
+        ends AS (SELECT indicador, ano_referencia, max(data) AS last_day FROM daily WHERE m IS NOT NULL GROUP BY ALL),
+        points AS (SELECT indicador, ano_referencia, data, CASE WHEN data = last_day THEN m END AS last_point
+                   FROM daily JOIN ends USING (indicador, ano_referencia))
+        SELECT *, {number_text('last_point')} || '%' AS last_percent_label,
+               'R$ ' || {number_text('last_point')} AS last_currency_label FROM points""", "news_expectations"),
+    "highlight_parts": with_tables(f"""
+        {_highlight('expectations', 'indicador')}
+        SELECT indicador, data, highlight_start, median_history, median_recent FROM chart""", "expectations"),
+    "comparison_means": with_tables(f"""
+        means AS (SELECT indicador, CAST(year(data) AS INT) AS ano, avg(mediana_top5) AS median_top5,
+                         avg(mediana_mercado) AS comparison_market, avg(divergencia_top5_mercado) AS spread
+                  FROM comparison GROUP BY ALL)
+        SELECT *, {colour('spread')} AS divergence_colour FROM means""", "comparison"),
+    "comparison_points": with_tables(
+        _comparison_chart("comparison", "").rstrip().removesuffix("FROM chart")
+        .replace("SELECT *,", "SELECT indicador, data, top5_point, market_point,") + " FROM chart", "comparison"),
+    "last_date_means": with_tables("""
+        SELECT indicador, ano_referencia, avg(mediana_mercado) AS market_last_date, avg(mediana_top5) AS top5_last_date,
+               avg(divergencia_top5_mercado) AS divergence_last_date
+        FROM comparison WHERE data = (SELECT max(data) FROM comparison) GROUP BY ALL""", "comparison"),
+    "rate_histories": with_tables("""
+        SELECT CAST(year(data) AS INT) AS ano, CAST(month(data) AS INT) AS mes,
+               avg(taxa_juro_real_ex_ante) AS real_rate_history, avg(taxa_selic_meta_aa) AS policy_rate_history,
+               avg(ipca_esperado_12m) AS inflation_history FROM real_rate GROUP BY ALL""", "real_rate"),
+    "rate_points": with_tables(
+        _rates("").replace("SELECT daily.*,", "SELECT daily.data,"), "real_rate"),
     "divergence_signs": with_tables(f"""
         signs AS (SELECT indicador, ano_referencia, {mean('divergencia_top5_mercado')} AS spread
                   FROM comparison GROUP BY ALL)
@@ -477,8 +563,7 @@ ORACLES: dict[str, str] = {
         WHERE data = last_day GROUP BY indicador, ano_referencia""", "comparison"),
     "last_date_colours": with_tables(f"""
         last_day AS (SELECT max(data) AS day FROM comparison),
-        signs AS (SELECT indicador, CAST(sum(CAST(divergencia_top5_mercado AS DECIMAL(18,4)))
-                             FILTER (WHERE data = day) AS DOUBLE) AS total
+        signs AS (SELECT indicador, avg(divergencia_top5_mercado) FILTER (WHERE data = day) AS total
                   FROM comparison, last_day GROUP BY 1)
         SELECT indicador, {table_colour('total')} AS table_colour FROM signs""", "comparison"),
     "last_date_divergence": with_tables(f"""
@@ -611,3 +696,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fct_juro_real_ex_ante', count(*) FROM real_rate""",
         "expectations", "comparison", "real_rate"),
 }
+
+for _name, _columns in MEANS.items():
+    _single = ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_single}) FROM ({ORACLES[_name]})"

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sondaflow import reports
 from sondaflow.functions.dates import date_key
-from sondaflow.functions.text import currency_label, percent_label
+from sondaflow.functions.text import currency_label, currency_thousands, percent_label, signed_points
 from sondaflow.measures import shapes
-from sondaflow.measures.catalogue import measure
+from sondaflow.measures.catalogue import Cards, measure, measures
 from sondaflow.measures.context import Context
 from sondaflow.operators import checks, dims, facts, gates
 from sondaflow.operators.curate import BATCH, INGESTED, RAW_BATCH, RAW_INGESTED, typed
@@ -23,6 +23,7 @@ from sondaflow.session import scratch_path
 from sondaflow.sources import landing, paged
 from sondaflow.sources.tables import TableSink
 from workload import marts, proxies
+from workload.means import MEANS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -292,9 +293,7 @@ def single_values(spark, folder):
 def single_rates(spark, folder):
     """Rates of a day; of a weekday of a month only where it has a single value."""
     star = marts.lines(spark, folder, "real_rate")
-    by = ["ano_mes", "dia_semana_nome"]
-    policy = measure("policy_rate", star, by)
-    return measure("real_rate", star, by).join(policy, by)
+    return measures(["real_rate", "policy_rate"], star, ["ano_mes", "dia_semana_nome"])
 
 
 @query
@@ -333,22 +332,123 @@ def kpi_last_median(spark, folder):
     return measure("kpi_last_median", star, ["indicador", "ano_referencia", "base_calculo"])
 
 
+CARDS = (["kpi_ipca", "kpi_selic", "kpi_pib", "kpi_dolar"], ["kpi_divergence_ipca", "kpi_divergence_selic"],
+         ["kpi_policy_rate", "kpi_inflation", "kpi_real_rate"])
+
+
 @query
 def measure_cards(spark, folder):
-    """The nine card measures by name, without any filter of their own page."""
+    """The nine card measures by name, without any filter of their own page: one aggregate per fact."""
     published = marts.news(spark, folder, "expectations", "comparison", "real_rate")
-    names = ["kpi_ipca", "kpi_selic", "kpi_pib", "kpi_dolar", "kpi_divergence_ipca",
-             "kpi_divergence_selic", "kpi_policy_rate", "kpi_inflation", "kpi_real_rate"]
-    cards = [measure(n, published).select(F.lit(n).alias("measure"), F.col(n).alias("value"))
-             for n in names]
+    cards = [measures(names, published).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("measure"), F.col(n).alias("value")) for n in names])).alias("card")).select("card.*")
+        for names in CARDS]
     return reduce(DataFrame.unionByName, cards)
 
 
+@query
+def cards_in_conflict(spark, folder):
+    """Cards replace the filter on the year by their own, and all groups of it show their value."""
+    star = marts.news(spark, folder, "expectations")
+    later = Context(facts={"expectations": {"ano_referencia": F.col("ano_referencia") == 2027,
+                                            "base_calculo": F.col("base_calculo") == 0}})
+    parts = [("filtered", [], later), ("grouped", ["ano_referencia"], Context()), ("both", ["ano_referencia"], later)]
+    found = [measures(CARDS[0], star, by, context, Cards(2025)).withColumn(
+        "ano_referencia", F.col("ano_referencia") if by else F.lit(None).cast("int")).select(
+        F.lit(label).alias("context"), "ano_referencia", *CARDS[0]) for label, by, context in parts]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def divergence_cards_by_signal(spark, folder):
+    """A group that the card does not fix still filters it."""
+    return measures(CARDS[1], marts.news(spark, folder, "comparison"), ["ano_referencia", "sinal_posicionamento"])
+
+
+@query
+def rates_by_policy_rate(spark, folder):
+    """Grouped by a column of the fact, each group has a last date of its own."""
+    return measures(CARDS[2], marts.lines(spark, folder, "real_rate"), ["taxa_selic_meta_aa"])
+
+
+@query
+def rates_by_year(spark, folder):
+    """Grouped by the calendar, the last date is that of the whole fact: other years are absent."""
+    return measures(CARDS[2], marts.lines(spark, folder, "real_rate"), ["ano"])
+
+
+@query
+def medians_by_unit(spark, folder):
+    """Both facts grouped by attributes of the indicator dimension."""
+    star, by = marts.news(spark, folder, "expectations", "comparison"), ["unidade_medida", "periodicidade"]
+    return measure("median_market", star, by).join(measure("divergence", star, by), by)
+
+
+@query
+def precise_means(spark, folder):
+    """Averages of values with many digits and of very large ones."""
+    orders = proxies.table(spark, folder, "orders").select(
+        "o_orderpriority", (F.col("o_totalprice") / 7e9).alias("small"), (F.col("o_totalprice") * 1e11).alias("large"))
+    return shapes.averages(orders, ["o_orderpriority"], {"mean_small": "small", "mean_large": "large"})
+
+
+@query
+def label_texts(spark, folder):
+    """Labels of numbers of any size and sign."""
+    lines = proxies.table(spark, folder, "lineitem")
+    value = F.col("l_extendedprice") * F.pow(F.lit(10.0), F.col("l_linenumber") - 5) * F.when(
+        F.col("l_returnflag") == "R", -1).otherwise(1)
+    return lines.select("l_orderkey", "l_linenumber", percent_label(value).alias("percent"),
+                        currency_thousands(value).alias("currency"), signed_points(value / 1e4).alias("points"))
+
+
+@query
+def news_points(spark, folder):
+    """Pointers and labels by name, several in one aggregate."""
+    return measures(["last_percent_label", "last_currency_label", "last_point"],
+                    marts.news(spark, folder, "expectations"), ["indicador", "ano_referencia", "data"])
+
+
+@query
+def highlight_parts(spark, folder):
+    return measures(["highlight_start", "median_history", "median_recent"],
+                    marts.lines(spark, folder, "expectations"), ["indicador", "data"])
+
+
+@query
+def comparison_means(spark, folder):
+    return measures(["median_top5", "comparison_market", "spread", "divergence_colour"],
+                    marts.lines(spark, folder, "comparison"), ["indicador", "ano"])
+
+
+@query
+def comparison_points(spark, folder):
+    return measures(["top5_label", "market_label", "top5_point", "market_point"],
+                    marts.lines(spark, folder, "comparison"), ["indicador", "data"])
+
+
+@query
+def last_date_means(spark, folder):
+    return measures(["market_last_date", "top5_last_date", "divergence_last_date"],
+                    marts.lines(spark, folder, "comparison"), ["indicador", "ano_referencia"])
+
+
+@query
+def rate_histories(spark, folder):
+    return measures(["real_rate_history", "policy_rate_history", "inflation_history"],
+                    marts.lines(spark, folder, "real_rate"), ["ano", "mes"])
+
+
+@query
+def rate_points(spark, folder):
+    return measures(["real_rate_point", "policy_rate_point", "inflation_point"],
+                    marts.lines(spark, folder, "real_rate"), ["data"])
+
+
 @query
 def divergence_signs(spark, folder):
     star = marts.lines(spark, folder, "comparison")
-    by = ["indicador", "ano_referencia"]
-    return measure("spread", star, by).join(measure("divergence_colour", star, by), by)
+    return measures(["spread", "divergence_colour"], star, ["indicador", "ano_referencia"])
 
 
 @query
@@ -536,3 +636,12 @@ def refreshed_tables(spark, folder):
         F.count(F.lit(1)).alias("n_rows"))
         for name in (catalog.EXPECTATIONS, catalog.COMPARISON, catalog.REAL_RATE)]
     return reduce(DataFrame.unionByName, counts)
+
+
+def _single(plan: Query, columns: tuple[str, ...]) -> Query:
+    return lambda spark, folder: plan(spark, folder).withColumns(
+        {c: F.col(c).cast("float").cast("double") for c in columns})
+
+
+for _name, _columns in MEANS.items():
+    QUERIES[_name] = _single(QUERIES[_name], _columns)
