@@ -23,29 +23,79 @@ FIELDS = "start long, length long, ids binary, doc_tokens long, sequence_id long
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file that drops white space between words.
+    """Ids of texts by a tokenizer file that lower-cases and drops white space between words.
 
-    Such a tokenizer never joins characters across a space or a line end, so a text
-    is encoded word by word, and repeated words are looked up. ``room`` words are
-    remembered; beyond that the memory starts anew.
+    Such a tokenizer never joins characters across a space or a line end, nor letters
+    with the punctuation behind them, so a text is encoded word by word, a word of
+    letters apart from its closing punctuation, and what was met before is looked up.
+    Memory is bounded: when ``room`` words are remembered, those of the half before go.
     """
 
-    def __init__(self, content: str, room: int = 200_000):
+    CLOSING = ".,;:!?"
+    LATIN = "\u0250"     # letters below are classed and lower-cased alike everywhere
+    WORD_END = "</w>"   # how such a tokenizer marks the last token of a word
+    AT_ONCE = 1000
+
+    def __init__(self, content: str, room: int = 800_000):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self.tokenizer, self.room, self.known = Tokenizer.from_str(content), room, {}
+
+        self.tokenizer, self.room = Tokenizer.from_str(content), room
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.old_words, self.old_parts = self.words, self.parts
+
+    def _encode(self, parts: list[str]) -> None:
+        """Parts of letters go through the tokenizer many at a time, and the marks of word ends tell
+        them apart; where they do not, and other parts, one by one."""
+        letters = [p for p in parts if p.isalpha()]
+        apart = [p for p in parts if not p.isalpha()]
+        for first in range(0, len(letters), self.AT_ONCE):
+            some = letters[first:first + self.AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) != len(some):
+                apart += some
+                continue
+            whole = ids.tobytes()
+            self.parts.update(zip(some, (whole[4 * a:4 * b] for a, b in zip([0, *ends], ends))))
+        for part, code in zip(apart, self.tokenizer.encode_batch(apart, add_special_tokens=False)):
+            self.parts[part] = np.array(code.ids, "<u4").tobytes()
+
+    def _split(self, word: str) -> tuple[str, str]:
+        """Small letters and closing punctuation, if the word is that, else the word as it is."""
+        core = word.rstrip(self.CLOSING)
+        if core.isalpha() and (core.isascii() or max(core) < self.LATIN):
+            small = core.lower()
+            if small.isalpha():
+                return small, word[len(core):]
+        return word, ""
+
+    def _learn(self, words: set[str]) -> None:
+        known = words.intersection(self.old_words)
+        self.words.update(zip(known, map(self.old_words.__getitem__, known)))
+        pairs = {word: self._split(word) for word in words.difference(known)}
+        parts = {p for pair in pairs.values() for p in pair}.difference(self.parts)
+        known = parts.intersection(self.old_parts)
+        self.parts.update(zip(known, map(self.old_parts.__getitem__, known)))
+        self._encode(list(parts.difference(known)))
+        for word, (core, closing) in pairs.items():
+            self.words[word] = self.parts[core] + self.parts[closing]
 
     def __call__(self, texts: list[str], end: int) -> list[np.ndarray]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = {w for text in words for w in text if w not in known}
-        if len(known) + len(new) > self.room:
-            known.clear()
-            new = {w for text in words for w in text}
-        order = list(new)
-        for word, code in zip(order, self.tokenizer.encode_batch(order, add_special_tokens=False)):
-            known[word] = np.array(code.ids, "<u4").tobytes()
+        texts = [t.replace("\n", " ").split(" ") for t in texts]
+        words = set().union(*texts)
+        if len(self.words) > self.room // 2:
+            self.old_words, self.words = self.words, {}
+            self.old_parts, self.parts = self.parts, {}
+        self._learn(words.difference(self.words))
         last = np.array([end], "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in text]) + last, "<u4") for text in words]
+        return [np.frombuffer(b"".join(map(self.words.__getitem__, text)) + last, "<u4") for text in texts]
 
 
 class SumOfSquares:
@@ -91,10 +141,10 @@ class SumOfSquares:
             yield from self.levels[level].pop()
 
 
-def _pack(content: str, size: int, end: int, most_open: int, task: int,
+def _pack(encode: Encoder, size: int, end: int, most_open: int, task: int,
           texts: Iterator[tuple[list, list[str]]]) -> Iterator[tuple[object, int, np.ndarray, int, int, int]]:
     """(document, start, ids, tokens of the document, sequence, offset) of each piece."""
-    encode, state = Encoder(content), SumOfSquares(size, most_open)
+    state = SumOfSquares(size, most_open)
     totals: dict[int, int] = {}
     names: dict[int, object] = {}
     left: dict[int, int] = {}
@@ -151,11 +201,13 @@ def packed(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
     No rows give no rows. Other columns are ignored.
     """
     with open(tokenizer, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        shared = docs.sparkSession.sparkContext.broadcast({"content": file.read()})
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = {}
+        types, mine = {}, shared.value   # a worker's own copy: its next tasks find the encoder there
+        if "encoder" not in mine:
+            mine["encoder"] = Encoder(mine["content"])
 
         def texts() -> Iterator[tuple[list, list[str]]]:
             for batch in batches:
@@ -174,7 +226,7 @@ def packed(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
                 ["id", *(f.split()[0] for f in FIELDS.split(", "))])
 
         found = []
-        for piece in _pack(shared.value, size, end, most_open, TaskContext.get().partitionId(), texts()):
+        for piece in _pack(mine["encoder"], size, end, most_open, TaskContext.get().partitionId(), texts()):
             found.append(piece)
             if len(found) == 1024:
                 yield rows(found)
