@@ -22,8 +22,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.filter(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    links, before = written(links, "links"), None
-    while before != (before := _checksum(links)):
+    links = written(links, "links")
+    before, now = None, _checksum(links)
+    while now[0] and now != before:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         larger = (both.filter(F.col("v") > F.col("u")).join(lowest, "u")
@@ -34,4 +35,5 @@ def components(links: DataFrame) -> DataFrame:
             larger.join(root, "u").filter(F.col("v") != F.col("m"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(root.withColumnRenamed("m", "v")).distinct(), "links")
+        before, now = now, _checksum(links)
     return links

@@ -9,9 +9,11 @@ shingle sets reaches ``percent``:
    a node shares at least ``need`` values with any node linked to it, so they meet
    in the list of one of its ``size - need + 1`` rarest, and the lists of common
    passages, which stand last, are hardly ever used. Values of one node need no list.
-3. Lists link nodes to hubs, each node to one at a time, after which groups of near
-   copies are one component; then every pair of a list whose ends are still in
-   different components is tried. No pair inside a component is made.
+3. Lists link nodes to hubs, each node to one at a time, first to the one whose values
+   are most common, which is the original among edited copies. After that, pairs of a
+   list whose ends are still in different components are tried. No pair inside a component
+   is made, and none that shingles found in one document only rule out: what is unique
+   in a text bounds the similarity that it can have with any other.
 4. The sketch of the union (its ``keep`` smallest hashes) estimates the similarity
    of a pair; pairs far below the limit go.
 5. The whole sets of the remaining pairs, made again from the texts, decide.
@@ -34,7 +36,7 @@ from sondaflow.llm.components import components
 from sondaflow.llm.tables import per_block, row_blocks, text_bytes, written
 from sondaflow.llm.words import mix, shingle_hashes, word_hashes
 
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 MISS = 1e-12
 KEEP = 96
 
@@ -110,59 +112,114 @@ def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
 
 
 def overlap_lists(nodes: DataFrame, keep: int, percent: int) -> DataFrame:
-    """Rows (value, node): the inverted lists in which every linked pair meets."""
+    """Rows (value, node, common): the inverted lists in which every linked pair meets, and how many
+    nodes in all hold the node's values."""
     retained = nodes.select("node", F.explode("sketch").alias("value"))
     shared = retained.groupBy("value").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
     ranked = (retained.join(shared, "value").groupBy("node")
               .agg(F.sort_array(F.collect_list(F.struct("nodes", "value"))).alias("ranked"))
               .join(nodes.select("node", "need"), "node").withColumn("used", F.size("ranked") - F.col("need") + 1))
-    return (ranked.filter("used > 0").select("node", F.explode(F.expr("slice(ranked, 1, used)")).alias("r"))
-            .select("r.value", "node"))
-
-
-def _hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Each node with one hub of its lists that is in another component."""
-    key = F.xxhash64("node", F.lit(turn))
-    hubs = (lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                       F.min(F.struct(key.alias("key"), "node", "root")).alias("hub"))
+    common = F.aggregate("ranked", F.lit(0).cast("long"), lambda total, r: total + r["nodes"])
+    return (ranked.filter("used > 0")
+            .select("node", common.alias("common"), F.explode(F.expr("slice(ranked, 1, used)")).alias("r"))
+            .select("r.value", "node", "common"))
+
+
+def _hub_pairs(lists: DataFrame, first: list[Column]) -> DataFrame:
+    """Each node with one hub of its lists: of the nodes there the one whose component comes first in
+    the given order, if that is another component."""
+    hubs = (lists.groupBy("value").agg(
+                F.min("root").alias("lo"), F.max("root").alias("hi"),
+                F.min(F.struct(*first, "root", "node")).alias("hub"))
             .filter("lo != hi").select("value", "hub"))
-    return (lists.join(hubs, "value").filter("root != hub.root")
-            .groupBy("node").agg(F.min("hub").alias("hub")).select("node", F.col("hub.node").alias("other")))
-
-
-def _cross_pairs(lists: DataFrame) -> DataFrame:
-    """Every pair of a list that is not in one component."""
-    roots = lists.select("value", F.col("root").alias("other_root")).distinct()
-    ends = lists.join(roots, "value").filter("root < other_root")
-    others = lists.select("value", F.col("root").alias("other_root"), F.col("node").alias("other"))
-    return ends.join(others, ["value", "other_root"]).select("node", "other")
-
+    return (lists.join(hubs, "value").filter("root != hub.root").groupBy("node", "root").agg(F.min("hub").alias("hub"))
+            .select("node", "root", F.col("hub.node").alias("other"), F.col("hub.root").alias("other_root"),
+                    F.struct(*(F.col(f"hub.{n}") for n in hubs.select("hub.*").columns if n != "node")).alias("rank")))
 
-def _similar_by_sketch(pairs: DataFrame, nodes: DataFrame, keep: int, percent: int) -> DataFrame:
-    """Pairs (u, v) of possible sizes whose union sketch does not rule them out."""
-    pairs = pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
 
-    def end(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(name), F.struct("n", "need", "sketch").alias(f"at_{name}"))
-
-    return (pairs.join(end("u"), "u").join(end("v"), "v")
-            .filter(f"100 * least(at_u.n, at_v.n) >= {percent} * greatest(at_u.n, at_v.n)")
-            .withColumn("union", F.expr(f"slice(sort_array(array_union(at_u.sketch, at_v.sketch)), 1, {keep})"))
-            .withColumn("shared", F.expr("size(array_intersect(array_intersect(at_u.sketch, at_v.sketch), union))"))
-            .filter("shared >= greatest(at_u.need, at_v.need)").select("u", "v"))
+def _shingle_rows(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            nodes = np.asarray(batch.column("node"))
+            for first, last in row_blocks(offsets):
+                sets = list(_sets(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(nodes[first:last], [len(x) for x in sets])), pa.array(np.concatenate(sets))],
+                    ["node", "shingle"])
+    return run
 
 
-def _verify(words: int, percent: int):
+def _may_reach(percent: int, n: str, common: str, other_n: str, other_common: str) -> Column:
+    """Whether two sets can be similar enough, of which at most so many shingles are common with others."""
+    both = f"least({common}, {other_common})"
+    return F.expr(f"100 * {both} >= {percent} * ({n} + {other_n} - {both})")
+
+
+def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int) -> DataFrame:
+    """Every pair of a list that is not in one component and that may be similar."""
+    mixed = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    lists = written(lists.join(mixed.select("value"), "value"), "lists")
+    # Shingles of these nodes that only one of them has.
+    texts = ends.join(lists.select("node").distinct(), "node", "left_semi").select("node", "text")
+    alone = (texts.mapInArrow(_shingle_rows(words), "node long, shingle long").groupBy("shingle")
+             .agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("nodes")).filter("nodes = 1")
+             .groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    sizes = ends.select("node", "n").join(alone, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+    lists = written(lists.join(sizes, "node"), "lists")
+    # What cannot reach the smallest set of its list goes first, then what cannot reach any of a component.
+    bounds = lists.groupBy("value").agg(F.min("n").alias("least_n"), F.max("common").alias("most_common"))
+    lists = written(lists.join(bounds, "value").filter(
+        _may_reach(percent, "n", "common", "least_n", "most_common")).drop("least_n", "most_common"), "lists")
+    roots = lists.groupBy("value", F.col("root").alias("other_root")).agg(
+        F.min("n").alias("least_n"), F.max("common").alias("most_common"))
+    near = lists.join(roots, (lists["value"] == roots["value"]) & (F.col("root") < F.col("other_root"))
+                      & _may_reach(percent, "n", "common", "least_n", "most_common")).drop(roots["value"])
+    others = lists.select(F.col("value").alias("in_value"), F.col("root").alias("in_root"), F.col("node").alias("other"),
+                          F.col("n").alias("other_n"), F.col("common").alias("other_common"))
+    return (near.join(others, (F.col("value") == F.col("in_value")) & (F.col("other_root") == F.col("in_root"))
+                      & _may_reach(percent, "n", "common", "other_n", "other_common"))
+            .select("node", "root", "other", "other_root").distinct())
+
+
+def _with_ends(pairs: DataFrame, ends: DataFrame, *columns: str) -> DataFrame:
+    for name in ("node", "other"):
+        pairs = pairs.join(ends.select(F.col("node").alias(name), F.struct(*columns).alias(f"at_{name}")), name)
+    return pairs
+
+
+def _similar_by_sketch(pairs: DataFrame, keep: int, percent: int) -> DataFrame:
+    """Pairs of possible sizes whose union sketch does not rule them out."""
+    return (pairs.filter(f"100 * least(at_node.n, at_other.n) >= {percent} * greatest(at_node.n, at_other.n)")
+            .withColumn("union", F.expr(f"slice(sort_array(array_union(at_node.sketch, at_other.sketch)), 1, {keep})"))
+            .withColumn("shared", F.expr("size(array_intersect(array_intersect(at_node.sketch, at_other.sketch), union))"))
+            .filter("shared >= greatest(at_node.need, at_other.need)"))
+
+
+def _forest(parents: DataFrame) -> DataFrame:
+    """Rows (root, up): the last of each root's line of parents, by doubling the step until none changes."""
+    parents = written(parents, "parents")
+    while True:
+        above = parents.select(F.col("root").alias("up"), F.col("up").alias("above"))
+        parents = written(parents.join(above, "up", "left").select(
+            "root", F.coalesce("above", "up").alias("up"), F.col("above").isNotNull().alias("moved")), "parents")
+        if not parents.agg(F.max("moved")).first()[0]:
+            return parents.select("root", "up")
+        parents = parents.select("root", "up")
+
+
+def _verify(words: int, percent: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (text_bytes(batch.column(c)) for c in ("text_u", "text_v"))
+            left, right = (text_bytes(batch.column(c)) for c in ("text", "other_text"))
             linked = []
             for first, last in row_blocks(left[1] + right[1]):
                 both = [_sets(d[o[first]:o[last]], o[first:last + 1] - o[first], words) for d, o in (left, right)]
                 for a, b in zip(*both):
                     common = len(np.intersect1d(a, b, assume_unique=True))
                     linked.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+            yield batch.select(kept).filter(pa.array(linked, pa.bool_()))
     return run
 
 
@@ -194,20 +251,35 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
              .select(F.col("text").alias("whole"), "text")
              .mapInArrow(per_block(_sketch_kernel(words, 0)),
                          "whole string, n_shingles long, name binary, sketch array<long>"))
-    texts = written(again.select("name", "whole").join(listed.select("name", "node"), "name")
-                    .select("node", "whole").dropDuplicates(["node"]), "texts")
-
-    roots, links = None, None
-    for turn in range(HUB_ROUNDS + 1):
-        at = lists.withColumn("root", F.col("node")) if roots is None else (
-            lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        pairs = _hub_pairs(at, turn) if turn < HUB_ROUNDS else _cross_pairs(at)
-        likely = _similar_by_sketch(pairs, listed, keep, percent)
-        found = (likely.join(texts.select(F.col("node").alias("u"), F.col("whole").alias("text_u")), "u")
-                 .join(texts.select(F.col("node").alias("v"), F.col("whole").alias("text_v")), "v")
-                 .mapInArrow(_verify(words, percent), "u long, v long"))
-        links = components(found if links is None else links.unionByName(found))
-        roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    ends = written(again.select("name", F.col("whole").alias("text"))
+                   .join(listed.select("name", "node", "n", "need", "sketch"), "name")
+                   .dropDuplicates(["node"]).drop("name"), "ends")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs whose whole sets are similar."""
+        rows = pairs.select("root", "other_root", "rank", F.col("at_node.text").alias("text"),
+                            F.col("at_other.text").alias("other_text"))
+        kept = ["root", "other_root", "rank"]
+        return rows.mapInArrow(_verify(words, percent, kept), rows.select(kept).schema)
+
+    # The first turn prefers the most common values; a parent comes before its child, so links are a forest.
+    weights = lists.groupBy("node").agg(F.max("common").alias("common"))
+    roots = written(weights.select("node", F.col("node").alias("root"), "common"), "roots")
+    for turn in range(HUB_ROUNDS):
+        first = F.xxhash64("root", F.lit(turn)) if turn else -F.col("common")
+        at = written(lists.select("value", "node").join(roots, "node"), "lists")
+        pairs = _with_ends(_hub_pairs(at, [first.alias("key")]), ends, "n", "need", "sketch", "text")
+        found = linked(_similar_by_sketch(pairs, keep, percent))
+        tops = _forest(found.groupBy("root").agg(F.min("rank")["root"].alias("up")))
+        roots = written(roots.join(tops, "root", "left").select(
+            "node", F.coalesce("up", "root").alias("root"), "common"), "roots")
+    at = lists.select("value", "node").join(roots.select("node", "root"), "node")
+    # Sketches first: these pairs may be many.
+    likely = _similar_by_sketch(
+        _with_ends(_cross_pairs(at, ends, words, percent), ends, "n", "need", "sketch"), keep, percent)
+    found = linked(_with_ends(likely.select("node", "root", "other", "other_root", F.lit(0).alias("rank")), ends, "text"))
+    tops = components(found.select(F.col("root").alias("u"), F.col("other_root").alias("v"))).toDF("root", "up")
+    roots = roots.join(tops, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
 
     named = (nodes.select("name", "node", "first_id").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
