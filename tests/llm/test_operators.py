@@ -223,9 +223,17 @@ def test_packing_of_odd_rows(odd, none):
 
 
 def test_words_one_by_one_give_the_tokens_of_the_text():
-    texts = ["It's  a\ttest\nof words and\x1flines. ΣΑΣ İ ſ <|endoftext|> é ́x", "'s't 're 12 a1b2", ""]
+    texts = ["It's  a\ttest\nof words and\x1flines. ΣΑΣ ΟΔΟΣ. İ ſ <|endoftext|> a<|startoftext|>b é ́x", "'s't 're 12 a1b2", "",
+             "No, no!? No... (no) <|startoftext| Å Å, ǅ ẞ. 각가 ﬁ, it's. don't, l'été, œuvre; ñandú? 漢字, x.,;"]
+    rng = random.Random(1)
+    letters = [c for c in map(chr, range(33, 0x3000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", ",", "?!"])
+                       for _ in range(400)) for _ in range(20)]
     with open(queries.tokenizer_path()) as file:
-        encode = packing.Encoder(file.read(), room=3)
+        content = file.read()
+    for room in (3, 10_000):
+        encode = packing.Encoder(content, room)
+        assert [encode([t], 2)[0].tolist() for t in texts] == tokens(texts)
     assert [x.tolist() for x in encode(texts, 2)] == tokens(texts)
 
 
