@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -27,23 +28,36 @@ def build_session(app: str = "sondaflow", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def scale_settings(shuffled_bytes: int, cores: int, partition_bytes: int = 512 << 20) -> dict[str, str]:
-    """Settings for a known amount of shuffled data, to pass to ``build_session``.
+def scale_settings(shuffled_bytes: int, cores: int, partition_bytes: int = 512 << 20,
+                   most_partitions: int | None = None) -> dict[str, str]:
+    """Settings for a known amount of shuffled data, to pass to ``build_session`` or ``sized``.
 
     A shuffle starts with enough partitions for each to fit a task's memory, and
     at least two per core; adaptive execution merges those that turn out small
-    up to a size worth writing as a file. A hundred thousand is the most that
-    map outputs are still cheap to track for; beyond it partitions grow and spill.
+    up to a size worth writing as a file. ``most_partitions`` bounds their number where
+    tracking map outputs costs more than larger partitions; a warning says when it does.
     """
-    wanted = -(-shuffled_bytes // partition_bytes)
+    wanted = max(-(-shuffled_bytes // partition_bytes), 2 * cores)
+    if most_partitions and wanted > most_partitions:
+        warnings.warn(f"{wanted} partitions of {partition_bytes} bytes are wanted, {most_partitions} are allowed: "
+                      "partitions will be larger and may spill", stacklevel=2)
+        wanted = most_partitions
     return {
-        "spark.sql.shuffle.partitions": str(min(max(wanted, 2 * cores), 100_000)),
+        "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
     }
 
 
+def sized(spark: SparkSession, shuffled_bytes: int, cores: int | None = None, **options: int) -> SparkSession:
+    """The session with the settings for this amount of data; ``cores`` are its own by default."""
+    cores = cores or spark.sparkContext.defaultParallelism
+    for key, value in scale_settings(shuffled_bytes, cores, **options).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

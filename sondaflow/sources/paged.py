@@ -8,22 +8,32 @@ through the driver, and a task that is lost simply asks again.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+# The readers travel with the job, so executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAGE_SIZE = 15_000
+READERS = 4  # at once per source: a public source limits its callers, however large the cluster
 WINDOW_DAYS = 5 * 365 + 1
 
 
 @dataclass(frozen=True)
 class PageRequest:
-    """What a transport is asked for: one page in the order of the full natural key."""
+    """What a transport is asked for: one page in the order of the full natural key.
+
+    ``filter`` is a Spark SQL predicate on the records; the transport translates it for its
+    source, or ignores it, because it is applied to the records again after they are read.
+    """
 
     endpoint: str
     order_by: tuple[str, ...]
@@ -46,9 +56,9 @@ class _Share(InputPartition):
         self.index = index
 
 
-class _Window(InputPartition):
-    def __init__(self, first: str, last: str):
-        self.first, self.last = first, last
+class _Windows(InputPartition):
+    def __init__(self, windows: list):
+        self.windows = windows
 
 
 def _batch(records: list[dict]) -> pa.RecordBatch:
@@ -87,20 +97,20 @@ class _PageReader(DataSourceReader):
 
 
 class _WindowReader(DataSourceReader):
-    """One partition per date window."""
+    """Reader k of n takes windows k, k+n, k+2n, ..."""
 
     def __init__(self, options: dict, fetch: Callable[[WindowRequest], list[dict]]):
         self.series = options.get("series", "")
         self.windows = json.loads(options["windows"])
+        self.readers = int(options["readers"])
         self.fetch = fetch
 
     def partitions(self) -> list[InputPartition]:
-        return [_Window(first, last) for first, last in self.windows]
+        return [_Windows(self.windows[k::self.readers]) for k in range(min(self.readers, len(self.windows)))]
 
-    def read(self, partition: _Window) -> Iterator[pa.RecordBatch]:
-        request = WindowRequest(
-            self.series, date.fromisoformat(partition.first), date.fromisoformat(partition.last))
-        yield _batch(self.fetch(request))
+    def read(self, partition: _Windows) -> Iterator[pa.RecordBatch]:
+        for first, last in partition.windows:
+            yield _batch(self.fetch(WindowRequest(self.series, date.fromisoformat(first), date.fromisoformat(last))))
 
 
 def _register(spark: SparkSession, reader: type, fetch: Callable) -> str:
@@ -124,9 +134,9 @@ def _register(spark: SparkSession, reader: type, fetch: Callable) -> str:
 
 def read_pages(spark: SparkSession, fetch: Callable[[PageRequest], list[dict]], *, endpoint: str,
                order_by: tuple[str, ...], filter: str = "", page_size: int = PAGE_SIZE,
-               readers: int | None = None) -> DataFrame:
-    """JSON records of a paged source, one per row in ``value``; by default one reader per core."""
-    readers = readers or spark.sparkContext.defaultParallelism
+               readers: int = READERS) -> DataFrame:
+    """JSON records of a paged source, one per row in ``value``. Each reader asks for a page at a
+    time, so the source sees at most so many requests at once, and at most one too many from each."""
     label = _register(spark, _PageReader, fetch)
     options = {"endpoint": endpoint, "order_by": ",".join(order_by), "filter": filter,
                "page_size": str(page_size), "readers": str(readers)}
@@ -153,10 +163,10 @@ def window_index(day: Column, first: date, days: int = WINDOW_DAYS) -> Column:
 
 
 def read_windows(spark: SparkSession, fetch: Callable[[WindowRequest], list[dict]], *, series: str,
-                 first: date, last: date, days: int = WINDOW_DAYS) -> DataFrame:
-    """JSON records of a date-windowed source, one per row in ``value``."""
+                 first: date, last: date, days: int = WINDOW_DAYS, readers: int = READERS) -> DataFrame:
+    """JSON records of a date-windowed source, one per row in ``value``; so many requests at once."""
     plan = [[str(w.first_day), str(w.last_day)]
             for w in date_windows(spark, first, last, days).collect()]
     label = _register(spark, _WindowReader, fetch)
-    options = {"series": series, "windows": json.dumps(plan)}
+    options = {"series": series, "windows": json.dumps(plan), "readers": str(readers)}
     return spark.read.format(label).options(**options).load()

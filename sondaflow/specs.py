@@ -18,7 +18,10 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One raw table: how to read it and what a load must satisfy before it is published."""
+    """One raw table: how to read it and what a load must satisfy before it is published.
+
+    ``readers`` bounds the requests that a paged or windowed source gets at once.
+    """
 
     target: str
     reader: str
@@ -31,6 +34,7 @@ class SourceSpec:
     options: dict[str, str] = field(default_factory=dict)
     max_age_days: int = 30
     min_volume_ratio: float = 0.90
+    readers: int = 4
 
 
 @dataclass(frozen=True)

@@ -1,7 +1,7 @@
 import json
 import time
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +174,33 @@ def test_failed_write_keeps_the_old_rows(spark, sink):
     assert sink.read("t").count() == 3
 
 
+def test_a_failed_switch_keeps_the_old_rows(spark, sink, monkeypatch):
+    """Whichever step fails, and whatever the new schema, readers go on with the old table."""
+    sink.replace(spark.range(3), "t")
+
+    def refuse(*_):
+        raise RuntimeError("no catalog")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(TableSink, "_point", refuse)
+        with pytest.raises(RuntimeError, match="no catalog"):
+            sink.replace(spark.range(2).select(F.lit("x").alias("name")), "t")
+    assert sink.read("t").columns == ["id"] and sink.read("t").count() == 3
+    sink.replace(spark.range(2).select(F.lit("x").alias("name")), "t")
+    assert sink.read("t").columns == ["name"]
+
+
+def test_old_folders_expire(spark, sink):
+    sink.replace(spark.range(3), "t")
+    refused = sink.stage(spark.range(9), "t")
+    sink.replace(spark.range(5), "t")
+    assert sink.expire("t", timedelta(hours=1)) == []
+    gone = sink.expire("t", timedelta(0))
+    assert len(gone) == 2 and any(p.endswith(refused.rsplit("/", 1)[1]) for p in gone)
+    assert sink.read("t").count() == 5 and sink.expire("t", timedelta(0)) == []
+    assert sink.expire("never", timedelta(0)) == []
+
+
 def test_append_widens(spark, sink):
     sink.append(spark.createDataFrame([(1, "a")], "n int, s string"), "log")
     sink.append(spark.createDataFrame([("b", 2.5, 2)], "s string, x double, n int"), "log")

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from sondaflow.session import scale_settings, scratch_path, shared_folder
+from sondaflow.session import scale_settings, scratch_path, shared_folder, sized
 
 
 def _session(master, conf=None, checkpoint=None):
@@ -31,6 +31,19 @@ def test_a_local_session_makes_one_folder_and_keeps_it(tmp_path, monkeypatch):
 
 
 @pytest.mark.parametrize("shuffled, cores, partitions", [
-    (0, 8, 16), (10 << 30, 4, 20), (1 << 40, 1000, 2048), (100 << 40, 4000, 100_000)])
+    (0, 8, 16), (10 << 30, 4, 20), (1 << 40, 1000, 2048), (100 << 40, 4000, 204_800)])
 def test_partitions_follow_the_data(shuffled, cores, partitions):
     assert scale_settings(shuffled, cores)["spark.sql.shuffle.partitions"] == str(partitions)
+
+
+def test_a_bound_on_partitions_is_told():
+    with pytest.warns(UserWarning, match="204800 partitions"):
+        settings = scale_settings(100 << 40, 4000, most_partitions=100_000)
+    assert settings["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_a_session_is_sized_in_place():
+    session = _session("local[2]")
+    session.sparkContext.defaultParallelism = 8
+    assert sized(session, 10 << 30).conf.get("spark.sql.shuffle.partitions") == "20"
+    assert sized(session, 0, 50).conf.get("spark.sql.shuffle.partitions") == "100"
