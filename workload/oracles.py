@@ -41,8 +41,8 @@ def table_colour(value: str) -> str:
             "ELSE '#8C969A' END")
 
 
-def newest(source: str, keys: str, measures: str) -> str:
-    order = ", ".join(f"{c.strip()} DESC NULLS LAST" for c in f"loaded, {measures}".split(","))
+def newest(source: str, keys: str, measures: str, loaded: str = "loaded, ") -> str:
+    order = ", ".join(f"{c.strip()} DESC NULLS LAST" for c in f"{loaded}{measures}".split(","))
     return (f"SELECT * FROM {source} "
             f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1")
 
@@ -143,6 +143,11 @@ TABLES = {
                     ELSE value + 1 END AS maximo,
                CAST(user_id AS INT) AS numero_respondentes, value AS original
         FROM events""",
+    # Records of one load have one load time, so only their measures decide.
+    "market_load": newest("market_raw", SURVEY_KEYS, SURVEY_MEASURES, ""),
+    "panel_load": newest("panel_raw", TOP5_KEYS, STATISTICS, ""),
+    "refreshed_expectations": FACT.format(survey="market_load"),
+    "refreshed_comparison": COMPARISON.format(survey="market_load", top5="panel_load"),
     "expectations": FACT.format(survey="market"),
     "news_expectations": FACT.format(survey="news"),
     "comparison": COMPARISON.format(survey="market", top5="panel"),
@@ -183,6 +188,8 @@ _NEEDS = {
     "rate": ["rate_raw"], "news": ["news_raw"], "news_panel": ["news_panel_raw"],
     "expectations": ["market"], "news_expectations": ["news"], "comparison": ["market", "panel"],
     "news_comparison": ["news", "news_panel"], "real_rate": ["rate", "inflation"],
+    "market_load": ["market_raw"], "panel_load": ["panel_raw"], "refreshed_expectations": ["market_load"],
+    "refreshed_comparison": ["market_load", "panel_load"],
 }
 
 
@@ -311,6 +318,8 @@ STAR = {catalog.CALENDAR: "calendar", catalog.INDICATORS: "series_dimension",
         catalog.EXPECTATIONS: "expectations", catalog.COMPARISON: "comparison",
         catalog.REAL_RATE: "real_rate"}
 
+PUBLISHED = {**STAR, catalog.INDICATORS: "indicators"}
+
 CONVERTED = {"data": "count(*) FILTER (WHERE data IS NULL)",
              "ano_referencia": "count(*) FILTER (WHERE ano_referencia IS NULL)"}
 REQUIRED = ["data", "indicador", "ano_referencia", "base_calculo"]
@@ -650,14 +659,37 @@ ORACLES: dict[str, str] = {
         SELECT event_id // 1000 AS page, count(*) AS n_rows, min(event_id) AS first_id,
                max(event_id) AS last_id FROM events GROUP BY 1""",
     "window_counts": """
-        WITH windows AS (
-            SELECT CAST(d AS DATE) AS first_day,
-                   least(CAST(d AS DATE) + 364, DATE '2001-12-15') AS last_day
-            FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-15',
-                                                INTERVAL 365 DAY)) AS d))
+        WITH ends AS (SELECT CAST(min(l_shipdate) AS DATE) AS a, CAST(max(l_shipdate) AS DATE) AS b FROM lineitem),
+        windows AS (
+            SELECT CAST(d AS DATE) AS first_day, least(CAST(d AS DATE) + 364, b) AS last_day
+            FROM (SELECT unnest(generate_series(a, b, INTERVAL 365 DAY)) AS d, b FROM ends))
         SELECT first_day, last_day, count(l_shipdate) AS n_lines
         FROM windows LEFT JOIN lineitem
           ON CAST(l_shipdate AS DATE) BETWEEN first_day AND last_day GROUP BY ALL""",
+    "paged_events": "SELECT event_id, user_id, event_type, value FROM events",
+    "windowed_orders": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders",
+    "replaced_and_widened": """
+        SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE o_orderstatus = 'O'""",
+    "refused_loads": f"""
+        WITH n AS (SELECT count(*) AS all_rows, count(*) FILTER (WHERE {EVENT_BASE} = 0) AS half FROM events
+                   WHERE event_type IN ('view', 'click', 'error', 'purchase')),
+        told AS (SELECT 1 AS k, 'empty' AS tabela, 'GateError: the source returned no record' AS erro
+                 UNION ALL SELECT 2, 'short', 'GateError: volume drop: ' || half || ' new rows against ' || all_rows
+                                             || ' published' FROM n
+                 UNION ALL SELECT 3, 'narrow', 'GateError: columns missing in the source: [''Media'']')
+        SELECT tabela, erro FROM told
+        UNION ALL SELECT 'batch', '3 table(s) failed: ' || string_agg(tabela || ' -> ' || erro, '; ' ORDER BY k) FROM told
+        UNION ALL SELECT tabela, all_rows || ' rows' FROM told, n""",
+    "refused_curation": """
+        SELECT 'silver_expectativas_anuais' AS tabela, 'ERRO' AS status, CAST(0 AS BIGINT) AS registros_lidos,
+               CAST(0 AS BIGINT) AS registros_gravados, CAST(0 AS BIGINT) AS duplicatas_removidas,
+               'GateError: columns missing in bronze_expectativas_anuais: [''Maximo'', ''Minimo'']' AS erro""",
+    "refreshed_expectations": with_tables("SELECT * FROM refreshed_expectations", "refreshed_expectations"),
+    "refreshed_comparison": with_tables("SELECT * FROM refreshed_comparison", "refreshed_comparison"),
+    "refreshed_rates": with_tables("SELECT * FROM real_rate", "real_rate"),
+    "refreshed_tests": with_tables(
+        " UNION ALL ".join(_test_sql(t, PUBLISHED) for t in catalog.DATA_TESTS), *PUBLISHED.values()),
     "load_audit": """
         SELECT 'bronze_expectativas_anuais' AS tabela, 'OK' AS status, count(*) AS registros,
                14 AS colunas, max(CAST(ts AS DATE)) AS data_max, NULL AS erro
@@ -673,23 +705,28 @@ ORACLES: dict[str, str] = {
                'GateError: stale data: newest date ' || max(CAST(o_orderdate AS DATE)) || ' is '
                || (DATE '2024-01-31' - max(CAST(o_orderdate AS DATE))) || ' days old'
         FROM orders""",
-    "curation_audit": with_tables("""
+    "curation_audit": with_tables(f"""
+        counted AS ({" UNION ALL ".join(
+            f"SELECT {k} AS k, '{n}' AS metric, {v} AS violations FROM flawed" for k, (n, v) in enumerate(
+                list(_gate_pairs(CONVERTED, REQUIRED, IN_RANGE).items())[1:]))})
         SELECT 'silver_expectativas_anuais' AS tabela, 'ERRO' AS status,
                CAST(0 AS BIGINT) AS registros_lidos, CAST(0 AS BIGINT) AS registros_gravados,
-               CAST(0 AS BIGINT) AS duplicatas_removidas
+               CAST(0 AS BIGINT) AS duplicatas_removidas,
+               'GateError: quality gate failed: {{' || (SELECT string_agg('''' || metric || ''': ' || violations, ', ' ORDER BY k)
+                   FROM counted WHERE violations > 0) || '}}' AS erro
         UNION ALL
         SELECT 'silver_top5_anuais', 'OK', (SELECT count(*) FROM panel_raw),
                (SELECT count(*) FROM panel),
-               (SELECT count(*) FROM panel_raw) - (SELECT count(*) FROM panel)
+               (SELECT count(*) FROM panel_raw) - (SELECT count(*) FROM panel), NULL
         UNION ALL
         SELECT 'silver_inflacao_12m', 'OK', (SELECT count(*) FROM inflation_raw),
                (SELECT count(*) FROM inflation),
-               (SELECT count(*) FROM inflation_raw) - (SELECT count(*) FROM inflation)
+               (SELECT count(*) FROM inflation_raw) - (SELECT count(*) FROM inflation), NULL
         UNION ALL
         SELECT 'silver_meta_selic', 'OK', (SELECT count(*) FROM rate_raw),
                (SELECT count(*) FROM rate),
-               (SELECT count(*) FROM rate_raw) - (SELECT count(*) FROM rate)""",
-        "panel", "inflation", "rate"),
+               (SELECT count(*) FROM rate_raw) - (SELECT count(*) FROM rate), NULL""",
+        "flawed", "panel", "inflation", "rate"),
     "refreshed_tables": with_tables("""
         SELECT 'fct_expectativas_mercado' AS table_name, count(*) AS n_rows FROM expectations
         UNION ALL SELECT 'fct_comparativo_top5', count(*) FROM comparison

@@ -574,12 +574,12 @@ def page_layout(spark, folder):
 
 @query
 def window_counts(spark, folder):
-    """One row per one-year date window with the lines shipped in it."""
-    first, last = date(1995, 1, 1), date(2001, 12, 15)
-    windows = paged.date_windows(spark, first, last, 365)
-    index = paged.window_index(F.col("first_day"), first, 365)
+    """One row per one-year date window with the lines shipped in it; the windows span all lines."""
     lines = proxies.table(spark, folder, "lineitem")
-    shipped = lines.groupBy(paged.window_index(F.col("l_shipdate"), first, 365).alias("w")).agg(
+    ends = lines.agg(F.min("l_shipdate").cast("date").alias("first"), F.max("l_shipdate").cast("date").alias("last")).first()
+    windows = paged.date_windows(spark, ends.first, ends.last, 365)
+    index = paged.window_index(F.col("first_day"), ends.first, 365)
+    shipped = lines.groupBy(paged.window_index(F.col("l_shipdate"), ends.first, 365).alias("w")).agg(
         F.count(F.lit(1)).alias("n"))
     return windows.join(shipped, index == F.col("w"), "left").select(
         "first_day", "last_day", F.coalesce("n", F.lit(0)).alias("n_lines"))
@@ -620,24 +620,147 @@ def curation_audit(spark, folder):
         list(pool.map(lambda t: sink.replace(raw[t](spark, folder), catalog.raw_table(t)), raw))
     run.curate_all(sink, list(catalog.CURATIONS))
     return sink.read(run.CURATION_AUDIT).select(
-        "tabela", "status", "registros_lidos", "registros_gravados", "duplicatas_removidas")
+        "tabela", "status", "registros_lidos", "registros_gravados", "duplicatas_removidas", "erro")
+
+
+@query
+def refused_loads(spark, folder):
+    """Published tables whose next load is empty, too small or lacks a column: what the audit of the
+    second batch tells, what the batch raises at its end, and the rows that stay published."""
+    sink, base = _sink(spark, "refused"), _load_spec(catalog.SURVEY)
+    bad = {"empty": lambda rows: rows.filter("Mediana < 0 and Mediana > 0"),
+           "short": lambda rows: rows.filter("baseCalculo = 0"),
+           "narrow": lambda rows: rows.drop("Media")}
+    good = _landed(spark, folder, {"all": proxies.news})["all"]
+    landed = _landed(spark, folder, {n: lambda s, f, change=change: change(proxies.news(s, f)) for n, change in bad.items()})
+
+    def specs(options: dict) -> list:
+        return [replace(base, target=n, reader="json", options=options.get(n, good)) for n in bad]
+
+    run.ingest(sink, specs({}), NEWS_AS_OF).raise_failures()
+    batch = run.ingest(sink, specs(landed), NEWS_AS_OF, "second")
+    try:
+        batch.raise_failures()
+        told = "nothing was refused"
+    except run.BatchError as error:
+        told = str(error)
+    refused = run.failed_runs(sink.read(run.LOAD_AUDIT)).filter("batch_id = 'second'")
+    kept = [sink.read(n).agg(F.lit(n).alias("tabela"), F.concat(F.count(F.lit(1)), F.lit(" rows")).alias("erro"))
+            for n in bad]
+    raised = spark.range(1).select(F.lit("batch").alias("tabela"), F.lit(told).alias("erro"))
+    return reduce(DataFrame.unionByName, [refused.select("tabela", "erro"), raised, *kept])
+
+
+@query
+def refused_curation(spark, folder):
+    """A raw table without two columns of the contract."""
+    sink = _sink(spark, "contract")
+    sink.replace(proxies.news(spark, folder).drop("Minimo", "Maximo"), catalog.raw_table(catalog.SURVEY))
+    run.curate_all(sink, [c for c in catalog.CURATIONS if c.source == catalog.raw_table(catalog.SURVEY)])
+    return sink.read(run.CURATION_AUDIT).select(
+        "tabela", "status", "registros_lidos", "registros_gravados", "duplicatas_removidas", "erro")
+
+
+@query
+def replaced_and_widened(spark, folder):
+    """A table replaced by one of another schema, then rows added that bring a column and lack one."""
+    sink, orders = _sink(spark, "replaced"), proxies.table(spark, folder, "orders")
+    sink.replace(orders.select("o_orderkey"), "prices")
+    sink.replace(orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice"), "prices")
+    sink.append(orders.filter("o_orderstatus = 'O'").select("o_orderpriority", "o_orderkey"), "prices")
+    return sink.read("prices")
+
+
+# What a source would hold is read by its transport, here in the tasks from the given files.
+
+def _pages_of(path: str) -> Callable[[paged.PageRequest], list[dict]]:
+    def fetch(request: paged.PageRequest) -> list[dict]:
+        import pyarrow.parquet as parquet
+        rows = parquet.read_table(path, columns=["event_id", "user_id", "event_type", "value"])
+        ordered = rows.sort_by([(k, "ascending") for k in request.order_by])
+        return ordered.slice(request.skip, request.top).to_pylist()
+    return fetch
+
+
+def _windows_of(path: str) -> Callable[[paged.WindowRequest], list[dict]]:
+    def fetch(request: paged.WindowRequest) -> list[dict]:
+        import pyarrow.compute as compute
+        import pyarrow.parquet as parquet
+        rows = parquet.read_table(path, columns=["o_orderkey", "o_orderdate", "o_totalprice"])
+        day = rows.column("o_orderdate").cast("date32")
+        rows = rows.set_column(1, "o_orderdate", day)
+        rows = rows.filter(compute.and_(compute.greater_equal(day, request.first), compute.less_equal(day, request.last)))
+        return [{**r, "o_orderdate": str(r["o_orderdate"])} for r in rows.to_pylist()]
+    return fetch
+
+
+@query
+def paged_events(spark, folder):
+    """All events through the paged reader, three requests at a time."""
+    path = f"{folder}/events.parquet"
+    records = paged.read_pages(spark, _pages_of(path), endpoint="events", order_by=("event_id",), page_size=1000, readers=3)
+    schema = "event_id long, user_id long, event_type string, value double"
+    return records.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+@query
+def windowed_orders(spark, folder):
+    """All orders through the windowed reader; the windows span the days that the orders have."""
+    ends = proxies.table(spark, folder, "orders").agg(F.min("o_orderdate").cast("date").alias("first"),
+                                                     F.max("o_orderdate").cast("date").alias("last")).first()
+    records = paged.read_windows(spark, _windows_of(f"{folder}/orders.parquet"), series="orders",
+                                 first=ends.first, last=ends.last, days=365)
+    schema = "o_orderkey long, o_orderdate date, o_totalprice double"
+    return records.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+_REFRESHED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _refreshed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Load, curate, model and test in one run, once per session: the published tables."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _REFRESHED:
+        raw = {catalog.SURVEY: proxies.market, catalog.TOP5: proxies.panel,
+               catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
+        sources = [replace(_load_spec(t), reader="json", options=options, max_age_days=365,
+                           filter="tipoCalculo = 'C'" if t == catalog.TOP5 else None)
+                   for t, options in _landed(spark, folder, raw).items()]
+        _REFRESHED[key] = run.refresh(_sink(spark, "refreshed"), sources, list(catalog.CURATIONS), LINES_AS_OF)
+    return _REFRESHED[key]
 
 
 @query
 def refreshed_tables(spark, folder):
-    """Load, curate, model and test in one run; rows of each published fact."""
-    raw = {catalog.SURVEY: proxies.market, catalog.TOP5: proxies.panel,
-           catalog.INFLATION: proxies.inflation, catalog.RATE: proxies.rate}
-    sources = [replace(_load_spec(t), reader="json", options=options, max_age_days=365,
-                       filter="tipoCalculo = 'C'" if t == catalog.TOP5 else None)
-               for t, options in _landed(spark, folder, raw).items()]
-    tables = run.refresh(_sink(spark, "refreshed"), sources, list(catalog.CURATIONS), LINES_AS_OF)
+    """Rows of each published fact."""
+    tables = _refreshed(spark, folder)
     counts = [tables[name].select(F.lit(name).alias("table_name")).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_rows"))
         for name in (catalog.EXPECTATIONS, catalog.COMPARISON, catalog.REAL_RATE)]
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def refreshed_expectations(spark, folder):
+    return _refreshed(spark, folder)[catalog.EXPECTATIONS]
+
+
+@query
+def refreshed_comparison(spark, folder):
+    return _refreshed(spark, folder)[catalog.COMPARISON]
+
+
+@query
+def refreshed_rates(spark, folder):
+    return _refreshed(spark, folder)[catalog.REAL_RATE]
+
+
+@query
+def refreshed_tests(spark, folder):
+    """The declared data tests on the tables of the run."""
+    return checks.run_tests(_refreshed(spark, folder), list(catalog.DATA_TESTS))
+
+
 def _single(plan: Query, columns: tuple[str, ...]) -> Query:
     return lambda spark, folder: plan(spark, folder).withColumns(
         {c: F.col(c).cast("float").cast("double") for c in columns})
