@@ -17,11 +17,18 @@ CURATED_AT = "_silver_timestamp"
 
 
 def convert(column: ColumnSpec) -> Column:
-    """The typed value; whatever cannot be converted becomes null and is counted by the gate."""
+    """The typed value; whatever cannot be converted becomes null and is counted by the gate.
+
+    A whole number may be written with a fraction of zero: the text 2026.0 is the year 2026.
+    """
     raw = F.col(column.source)
     if column.type == "date":
         return parse_date(raw, column.date_format)
-    return raw.try_cast(column.type)
+    value = raw.try_cast(column.type)
+    if column.type in ("int", "bigint"):
+        exact = raw.try_cast("decimal(38,8)")
+        value = F.coalesce(value, F.when(exact == F.floor(exact), exact.try_cast(column.type)))
+    return value
 
 
 def raw_name(target: str) -> str:

@@ -29,8 +29,16 @@ def stacked(*frames):
 
 
 def violations(frame, spec=SURVEY):
-    found = gates.curation_metrics(frame, spec).first().asDict()
-    return {k: v for k, v in found.items() if k != "rows" and v}
+    found = gates.curation_metrics(frame, spec).collect()
+    return {f"{r.kind}__{r.name}": r.violations for r in found if r.kind != gates.ROWS and r.violations}
+
+
+def test_whole_numbers_with_a_fraction_of_zero(spark):
+    out = curate.typed(stacked(raw(spark, DataReferencia="2026.0"), raw(spark, DataReferencia="2026.5")), SURVEY)
+    assert [r.ano_referencia for r in out.collect()] == [2026, None]
+    assert violations(raw(spark, DataReferencia="2026.0")) == {}
+    assert violations(raw(spark, DataReferencia="2026.5")) == {
+        "conversion__ano_referencia": 1, "null_key__ano_referencia": 1}
 
 
 def test_contract_types(spark):

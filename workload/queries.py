@@ -87,16 +87,20 @@ def typed_flawed_survey(spark, folder):
 
 # ---------------------------------------------------------------- gates
 
+def _metrics(counts: DataFrame) -> DataFrame:
+    return counts.select(F.concat_ws("__", "kind", F.nullif("name", F.lit(""))).alias("metric"), "violations")
+
+
 @query
 def gate_metrics(spark, folder):
     """Conversions, keys and rules in one aggregate, on damaged records."""
     flawed = proxies.flawed_news(spark, folder)
-    return gates.as_rows(gates.curation_metrics(flawed, proxies.SURVEY_SPEC))
+    return _metrics(gates.curation_metrics(flawed, proxies.SURVEY_SPEC))
 
 
 @query
 def gate_metrics_clean(spark, folder):
-    return gates.as_rows(gates.curation_metrics(
+    return _metrics(gates.curation_metrics(
         proxies.market(spark, folder), proxies.SURVEY_SPEC))
 
 
