@@ -179,7 +179,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
                      F.expr(f"block * {block} + length").alias("last")))
     pieces = (placed.withColumn("block", F.explode(F.sequence(
                   F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
-              .join(drawn, ["source_key", "shard", "block"])
+              # Blocks are unfolded from few rows, so their number must not be guessed from those.
+              .join(drawn.hint("merge"), ["source_key", "shard", "block"])
               .select("row", "turn", F.greatest(F.lit(0), F.col("first") - F.col("start")).alias("first"),
                       F.least(F.col("size"), F.col("last") - F.col("start")).alias("last"))
               .filter("last > first"))
