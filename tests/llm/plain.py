@@ -116,3 +116,23 @@ def partial_matching(train: list[bytes], order: int) -> "callable":
         return total
 
     return score
+
+
+PHRASES = re.compile(r"(?i)(cookie (policy|settings)|privacy policy|terms (of (use|service)|and conditions)|"
+                     r"enable javascript|click here|read more|sign (in|up)|log ?in|subscribe (now|to)|"
+                     r"skip to (main )?content|share (this|on)|lorem ipsum)")
+
+
+def clean(text: str | None) -> tuple[str, bool]:
+    """The lines that pass the rules, and whether the document stays."""
+    def fails(line: str) -> bool:
+        solid = sum(map(len, words(line)))
+        spaces = len(line) - solid
+        bars = sum(line.count(c) for c in "|»›•")
+        return solid > 0 and (100 * len(re.findall(r"[#*$%&|<>!]", line)) > 10 * solid
+                              or bars >= 3 and 4 * bars >= spaces + 1
+                              or spaces + 1 <= 25 and bool(PHRASES.search(line)))
+
+    kept = "\n".join(x for x in (text or "").split("\n") if not fails(x))
+    n, chars, *_, failed = base_counts(text)
+    return kept, not failed and 100 * sum(map(len, words(kept))) >= 50 * chars
