@@ -12,6 +12,7 @@ Nothing is shuffled, and a retried task gives the same pieces.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +32,12 @@ class Encoder:
     Memory is bounded: when ``room`` words are remembered, those of the half before go.
     """
 
-    CLOSING = ".,;:!?"
+    CLOSING = string.punctuation
     LATIN = "\u0250"     # letters below are classed and lower-cased alike everywhere
     WORD_END = "</w>"   # how such a tokenizer marks the last token of a word
     AT_ONCE = 1000
 
-    def __init__(self, content: str, room: int = 800_000):
+    def __init__(self, content: str, room: int = 1_600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
