@@ -224,10 +224,11 @@ def test_packing_of_odd_rows(odd, none):
 
 def test_words_one_by_one_give_the_tokens_of_the_text():
     texts = ["It's  a\ttest\nof words and\x1flines. ΣΑΣ ΟΔΟΣ. İ ſ <|endoftext|> a<|startoftext|>b é ́x", "'s't 're 12 a1b2", "",
-             "No, no!? No... (no) <|startoftext| Å Å, ǅ ẞ. 각가 ﬁ, it's. don't, l'été, œuvre; ñandú? 漢字, x.,;"]
+             "No, no!? No... (no) <|startoftext| Å Å, ǅ ẞ. 각가 ﬁ, it's. don't, l'été, œuvre; ñandú? 漢字, x.,;",
+             "DER,!! die&&& x### 'a' b's' c'' <d> e|> <|endoftext|>! f's. g'S, (h) i_ j-k l--"]
     rng = random.Random(1)
     letters = [c for c in map(chr, range(33, 0x3000)) if not 0xD800 <= ord(c) < 0xE000]
-    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", ",", "?!"])
+    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", ",", "?!", "'", "&&&", "'s", "|>"])
                        for _ in range(400)) for _ in range(20)]
     with open(queries.tokenizer_path()) as file:
         content = file.read()
