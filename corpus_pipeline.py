@@ -15,12 +15,17 @@ from sondaflow.llm.tables import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others keep the lines that passed."""
+    """Rejected documents go; the others keep the lines that passed.
+
+    A kept document is unfolded to its row, a rejected one to none: a filter would be pushed below the
+    rules and make them all over again for its condition.
+    """
     judged = quality.judged(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text")))
-    return judged.filter("kept").select(*(
+    row = F.struct(*(
         F.col("clean_text").alias(c) if c == "text" else
         F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
-        F.col(f"doc.{c}") for c in docs.columns))
+        F.col(f"doc.{c}").alias(c) for c in docs.columns))
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(row))))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
