@@ -481,6 +481,20 @@ def test_a_share_keeps_probabilities_proper(docs):
         assert (10 ** ppm.log10_of(levels, np.array(keys, np.uint64))).sum() == pytest.approx(1)
 
 
+def test_strings_seen_once_stay_in_the_trie_of_a_large_table(spark):
+    common = spark.range(5000).select("id", F.expr("repeat('the same old words again and ', 33)").alias("text"))
+    rare = spark.createDataFrame([(-1, "Qzxj vkwq"), (-2, "qzxj vkwq")], "id long, text string")
+    texts = common.unionByName(rare)
+    found = ppm.scored(texts.withColumnRenamed("id", "doc_id"), F.col("doc_id") == -2).filter("doc_id = -2").first()
+    counts = texts.filter("id <> -2").select("text").mapInArrow(ppm._count(ppm.ORDER), "kind int, key long, n long")
+    levels = ppm.trie_of(counts.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("n")), ppm.ORDER, 0.0)
+    assert levels[0]["counts"].sum() > 1 << 22
+    data = np.frombuffer(b"qzxj vkwq", np.uint8)
+    strings = bytegrams.grams(data, np.array([0, len(data)]), ppm.ORDER)[0]
+    assert found.score == pytest.approx(ppm.log10_of(levels, strings).sum())
+    assert found.n_known == found.n_tokens == 3
+
+
 def test_language_model_of_odd_rows(odd, none):
     found = ppm.scored(odd, F.lit(None).cast("boolean")).collect()
     assert len(found) == len(ODD) and not any(r.held_out for r in found)
