@@ -405,6 +405,14 @@ def test_trusted_documents_are_kept_and_noise_is_not(spark, docs):
     assert sum(found[i].kept for i in ids) >= 0.97 * len(ids)
 
 
+def test_thresholds_take_all_trusted_texts_outside_the_training(spark):
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    everything = spark.read.parquet(f"{folder}/documents.parquet")
+    trusted = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1 and toxic = 0").select(F.col("doc_id").alias("id"))
+    found = kneser.judged(everything, trusted, most_trusted=100)
+    assert found.select("threshold").distinct().count() > 1
+
+
 def test_perplexity_of_odd_rows(spark, odd, none):
     nobody = spark.createDataFrame([(None,)], "id long")
     found = kneser.judged(odd, nobody).collect()
