@@ -405,6 +405,17 @@ def test_trusted_documents_are_kept_and_noise_is_not(spark, docs):
     assert sum(found[i].kept for i in ids) >= 0.97 * len(ids)
 
 
+def test_labels_that_are_not_clean_are_rejected(spark):
+    folder = FOLDER.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic")
+    trusted = labels.filter("quality = 1 and toxic = 0").select(F.col("doc_id").alias("id"))
+    found = kneser.judged(spark.read.parquet(f"{folder}/documents.parquet"), trusted).join(labels, "doc_id")
+    share = {(r.quality, r.toxic): r.kept for r in found.groupBy("quality", "toxic").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1, 0] >= 0.98
+    assert share[0, 0] <= 0.05 and share[0, 1] <= 0.05 and share[1, 1] <= 0.6
+
+
 def test_thresholds_take_all_trusted_texts_outside_the_training(spark):
     folder = FOLDER.replace("sf0.001", "sf0.01")
     everything = spark.read.parquet(f"{folder}/documents.parquet")
