@@ -8,7 +8,8 @@ A candidate is a run of at least 20 characters of ``[A-Za-z0-9+/_=-]``. A window
 slides over it; the counts of its characters are updated by the one that enters
 and the one that leaves, and with them the sum of c log2 c, from which the Shannon
 entropy follows. The candidate is a secret when a window reaches the limit of its
-character class, unless the allow list names it or a fixed pattern covers it.
+character class, unless the allow list names it or its letters are like words. Where a
+fixed pattern covers a part of it, each rest of at least 20 characters is judged alone.
 """
 
 from __future__ import annotations
@@ -29,11 +30,18 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # Character class: pattern of the whole candidate, least entropy in bits of a window.
 CLASSES = (("hexadecimal", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0),
-           ("letters of one case", r"^([a-z_=/+-]+|[A-Z]?[a-z]*|[A-Z_=/+-]+)$", 4.0),
+           ("letters of one case", r"^([a-z_=/+-]+|[A-Z]?[a-z]*|[A-Z_=/+-]+)$", 3.2),  # random letters: 99 % reach it
            ("mixed", r"", 3.6))
+# Letters of one case that are like words: enough vowels, few rare letters, no long run of consonants.
+VOWELS, RARE, CONSONANTS = "aeiou", "jqxzwkvy", r"[b-df-hj-np-tv-xz]{8}"
+VOWEL_PERCENT, RARE_PERCENT = 25, 15
+# A path's segments are words, numbers or names of words; none mixes cases and digits.
+WORDS = r"(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4})"
+SEGMENT = rf"(?:{WORDS}(?:[_-]{WORDS})*+[0-9]{{0,3}}|(?:[A-Z]?[a-z]{{2,}}+)++)?"
+PATH = rf"^(?=[^/]*(?:/[^/]{{0,16}}){{2,}}$){SEGMENT}(?:/{SEGMENT}){{2,}}$"
 # Identifiers, paths and documentation samples that look random and are no secrets.
 ALLOWED = (r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-           r"(?i)example", r"^[A-Za-z0-9_-]*(/[A-Za-z0-9_-]{0,16}){2,}$", r"^[A-Za-z]+([_-][A-Za-z]+)+$")
+           r"(?i)example", PATH, r"^[A-Za-z]+([_-][A-Za-z]+)+$")
 
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -87,6 +95,35 @@ def window_entropy(candidate: Column, window: int = WINDOW) -> Column:
     return F.get(F.transform(F.array(F.split(candidate, "")), slide), F.lit(0))
 
 
+def _word_like(value: Column) -> Column:
+    """Whether letters of one case are like words."""
+    letters = F.regexp_replace(F.lower(value), "[^a-z]", "")
+
+    def count(some: str) -> Column:
+        return F.length(letters) - F.length(F.translate(letters, some, ""))
+
+    return (value.rlike(CLASSES[1][1]) & (count(VOWELS) * 100 >= VOWEL_PERCENT * F.length(letters))
+            & (count(RARE) * 100 <= RARE_PERCENT * F.length(letters)) & ~letters.rlike(CONSONANTS))
+
+
+def _outside(candidate: Column, fixed: Column) -> Column:
+    """The parts of a candidate outside the fixed spans, as spans like it."""
+    def part(first: Column, end: Column) -> Column:
+        return F.struct(first.alias("start"), candidate["kind"].alias("kind"), end.alias("end"),
+                        F.substring(candidate["value"], first - candidate["start"] + 1, end - first).alias("value"))
+
+    met = F.filter(fixed, lambda f: (f["start"] < candidate["end"]) & (candidate["start"] < f["end"]))
+    parts = F.aggregate(
+        F.sort_array(met), F.struct(candidate["start"].alias("at"), _none().alias("parts")),
+        lambda acc, f: F.struct(
+            F.greatest(acc["at"], f["end"]).alias("at"),
+            F.when(f["start"] > acc["at"], F.array_append(acc["parts"], part(acc["at"], f["start"])))
+            .otherwise(acc["parts"]).alias("parts")),
+        lambda acc: F.when(acc["at"] < candidate["end"], F.array_append(acc["parts"], part(acc["at"], candidate["end"])))
+        .otherwise(acc["parts"]))
+    return F.when(F.size(met) == 0, F.array(candidate)).otherwise(parts)
+
+
 def _looks_random(value: Column, window: int) -> Column:
     """Whether a window reaches the limit of the candidate's class. No window has more bits than
     the logarithm of the distinct characters, which spares most candidates the windows."""
@@ -119,9 +156,10 @@ def with_spans(docs: DataFrame, text: str = "text", window: int = WINDOW,
             hit = hit | value.rlike(pattern)
         return hit
 
-    random = F.filter(_spans(whole, "entropy", CANDIDATE, F.lit(True)), lambda s: ~F.exists(
-        F.col("__fixed"), lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"]))
-        & ~is_allowed(s["value"]) & _looks_random(s["value"], window))
+    candidates = F.flatten(F.transform(_spans(whole, "entropy", CANDIDATE, F.lit(True)),
+                                       lambda s: _outside(s, F.col("__fixed"))))
+    random = F.filter(candidates, lambda s: (F.length(s["value"]) >= WINDOW) & ~is_allowed(s["value"])
+                      & ~_word_like(s["value"]) & _looks_random(s["value"], window))
     return (docs.withColumn("__fixed", fixed).withColumn("__random", F.coalesce(random, _none()))
             .withColumn(out, F.sort_array(F.concat("__fixed", "__random"))).drop("__fixed", "__random"))
 

@@ -329,6 +329,33 @@ def test_fixed_patterns(spark, docs, rows):
     assert [[s.kind for s in found[k].spans] for k in (6, 7, 8, 9)] == [[3], [], [], []]
 
 
+def test_random_strings_are_no_paths_and_no_words(spark):
+    rng = random.Random(6)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(32)) for _ in range(300)]
+    keys = ["".join(rng.choice(secrets.ALPHABET[:64]) for _ in range(40)) for _ in range(6000)]
+    keys = [k for k in keys if k.count("/") > 1 and max(map(len, k.split("/")[1:])) <= 16 and "+" not in k]
+    words = ["anticonstitutionnellement", "geschwindigkeitsbegrenzung", "thisisaverylongwordwithoutanydigits",
+             "/usr/lib/python3/dist-packages", "src/main/java/com/acme/UserService", "docs/2024/01/release-notes"]
+    texts = letters + keys + words
+    found = {r.doc_id: r.spans for r in secrets.with_spans(frame(spark, list(enumerate(texts)))).collect()}
+    n = len(letters)
+    assert sum(bool(found[k]) for k in range(n)) >= 0.95 * n
+    assert len(keys) > 50 and all(found[n + k] for k in range(len(keys)))
+    assert not any(found[k] for k in range(n + len(keys), len(texts)))
+
+
+def test_what_is_left_of_a_candidate_is_judged(spark):
+    key, secret = "AKIA" + "Q7" * 8, "wJa1rXUtnFEMI4K7MDENGbPxRfiCYEzq8LpT0vHs"
+    texts = [f"{key}/{secret}", f"é {secret}/{key}/{secret} x", f"{key}/short"]
+    rows = secrets.with_spans(frame(spark, list(enumerate(texts)), False)).select(
+        "doc_id", "spans", secrets.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    found = {r.doc_id: r for r in rows}
+    assert found[0].t == "[SECRET][SECRET]" and found[1].t == "é [SECRET][SECRET][SECRET] x"
+    assert found[2].t == "[SECRET]/short"
+    for r in rows:
+        assert all(texts[r.doc_id][s.start:s.end] == s.value for s in r.spans if s.kind > 0)
+
+
 def test_window_entropy(spark):
     rng = random.Random(8)
     texts = ["".join(rng.choice(secrets.ALPHABET[:n]) for _ in range(m)) for n in (1, 2, 16, 66) for m in (20, 21, 45)]
