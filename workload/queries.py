@@ -8,7 +8,7 @@ from dataclasses import replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sondaflow import reports
 from sondaflow.functions.dates import date_key
@@ -675,34 +675,61 @@ def replaced_and_widened(spark, folder):
     return sink.read("prices")
 
 
-# What a source would hold is read by its transport, here in the tasks from the given files.
+# What a source would hold is written by Spark, a folder for each page or window; a transport reads the one it is asked for.
+
+def _written_pages(rows: DataFrame, key: str, size: int) -> str:
+    """The rows in the order of the key, one file per page: positions follow from the counts of ranges of the key."""
+    spark = rows.sparkSession
+    staged, root = scratch_path(spark, "ranges"), scratch_path(spark, "pages")
+    rows.repartitionByRange(key).withColumn("__part", F.spark_partition_id()).write.parquet(staged)
+    ranges = spark.read.parquet(staged)
+    # A row per range of the key, a few hundred whatever the input.
+    before, starts = 0, {}
+    for r in ranges.groupBy("__part").count().orderBy("__part").collect():
+        starts[r["__part"]], before = before, before + r["count"]
+    counted = spark.createDataFrame(list(starts.items()), "__part int, __start long")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1 + F.col("__start")
+    (ranges.join(F.broadcast(counted), "__part").withColumn("page", paged.page_number(place, size))
+     .drop("__part", "__start").repartition("page").sortWithinPartitions("page", key)
+     .write.partitionBy("page").parquet(root))
+    return root
+
+
+def _reader() -> Callable[[str, list[str]], list[dict]]:
+    """A function of its own, so that it travels with the job."""
+    def read(folder: str, columns: list[str]) -> list[dict]:
+        import pyarrow.parquet as parquet
+        from pyarrow import fs
+        system, path = fs.FileSystem.from_uri(folder)
+        if system.get_file_info(path).type == fs.FileType.NotFound:
+            return []
+        return parquet.read_table(path, columns=columns, filesystem=system, partitioning=None).to_pylist()
+    return read
+
+
+def _pages_of(root: str, columns: list[str]) -> Callable[[paged.PageRequest], list[dict]]:
+    read = _reader()
 
-def _pages_of(path: str) -> Callable[[paged.PageRequest], list[dict]]:
     def fetch(request: paged.PageRequest) -> list[dict]:
-        import pyarrow.parquet as parquet
-        rows = parquet.read_table(path, columns=["event_id", "user_id", "event_type", "value"])
-        ordered = rows.sort_by([(k, "ascending") for k in request.order_by])
-        return ordered.slice(request.skip, request.top).to_pylist()
+        return read(f"{root}/page={request.skip // request.top}", columns)
     return fetch
 
 
-def _windows_of(path: str) -> Callable[[paged.WindowRequest], list[dict]]:
+def _windows_of(root: str, begin: date, days: int) -> Callable[[paged.WindowRequest], list[dict]]:
+    read = _reader()
+
     def fetch(request: paged.WindowRequest) -> list[dict]:
-        import pyarrow.compute as compute
-        import pyarrow.parquet as parquet
-        rows = parquet.read_table(path, columns=["o_orderkey", "o_orderdate", "o_totalprice"])
-        day = rows.column("o_orderdate").cast("date32")
-        rows = rows.set_column(1, "o_orderdate", day)
-        rows = rows.filter(compute.and_(compute.greater_equal(day, request.first), compute.less_equal(day, request.last)))
-        return [{**r, "o_orderdate": str(r["o_orderdate"])} for r in rows.to_pylist()]
+        rows = read(f"{root}/window={(request.first - begin).days // days}", ["o_orderkey", "o_orderdate", "o_totalprice"])
+        return [{**r, "o_orderdate": str(r["o_orderdate"])} for r in rows]
     return fetch
 
 
 @query
 def paged_events(spark, folder):
     """All events through the paged reader, three requests at a time."""
-    path = f"{folder}/events.parquet"
-    records = paged.read_pages(spark, _pages_of(path), endpoint="events", order_by=("event_id",), page_size=1000, readers=3)
+    columns = ["event_id", "user_id", "event_type", "value"]
+    root = _written_pages(proxies.table(spark, folder, "events").select(*columns), "event_id", 1000)
+    records = paged.read_pages(spark, _pages_of(root, columns), endpoint="events", order_by=("event_id",), page_size=1000, readers=3)
     schema = "event_id long, user_id long, event_type string, value double"
     return records.select(F.from_json("value", schema).alias("r")).select("r.*")
 
@@ -710,9 +737,12 @@ def paged_events(spark, folder):
 @query
 def windowed_orders(spark, folder):
     """All orders through the windowed reader; the windows span the days that the orders have."""
-    ends = proxies.table(spark, folder, "orders").agg(F.min("o_orderdate").cast("date").alias("first"),
-                                                     F.max("o_orderdate").cast("date").alias("last")).first()
-    records = paged.read_windows(spark, _windows_of(f"{folder}/orders.parquet"), series="orders",
+    orders = proxies.table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice")
+    ends = orders.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")).first()
+    root = scratch_path(spark, "windows")
+    orders.withColumn("window", paged.window_index(F.col("o_orderdate"), ends.first, 365)).write.partitionBy("window").parquet(root)
+    records = paged.read_windows(spark, _windows_of(root, ends.first, 365), series="orders",
                                  first=ends.first, last=ends.last, days=365)
     schema = "o_orderkey long, o_orderdate date, o_totalprice double"
     return records.select(F.from_json("value", schema).alias("r")).select("r.*")
