@@ -12,6 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sondaflow.measures.context import Star
 from sondaflow.operators import dims, facts
@@ -82,7 +83,7 @@ NEWS_FACTS = {
     "real_rate": LINE_FACTS["real_rate"],
 }
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _written(spark: SparkSession, folder: str, plans: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -91,13 +92,15 @@ def _written(spark: SparkSession, folder: str, plans: dict[str, Callable[[], Dat
 
     def write(name: str) -> None:
         path = scratch_path(spark, name)
-        plans[name]().sortWithinPartitions("data").write.parquet(path)
-        _WRITTEN[session, folder, name] = path
+        rows = plans[name]()
+        rows.sortWithinPartitions("data").write.parquet(path)
+        _WRITTEN[session, folder, name] = path, rows.schema
 
     missing = [name for name in plans if (session, folder, name) not in _WRITTEN]
     with ThreadPoolExecutor(max_workers=max(1, len(missing))) as pool:
         list(pool.map(write, missing))
-    return {name: spark.read.parquet(_WRITTEN[session, folder, name]) for name in plans}
+    built = {name: _WRITTEN[session, folder, name] for name in plans}
+    return {name: spark.read.schema(schema).parquet(path) for name, (path, schema) in built.items()}
 
 
 def _facts(spark: SparkSession, folder: str, label: str, recipes: dict, wanted: tuple[str, ...]) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ with very many records each, which is what deduplication has to survive.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sondaflow.operators.curate import BATCH, INGESTED
 from sondaflow.plans import catalog
@@ -18,8 +19,15 @@ EVENT_INDICATOR = {"view": "IPCA", "click": "Selic", "error": "Câmbio", "purcha
                    "signup": "IPCA 12M Suavizado"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its columns are read from a file once, which is a job, and known from then on."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _lineage(moment: Column) -> list[Column]:
