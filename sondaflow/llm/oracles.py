@@ -163,10 +163,43 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+OP11 = r"""
+WITH base AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+said AS (SELECT row, lang, source,
+                unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM base),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM said GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM base),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM groups LEFT JOIN counts USING (lang, source)
+           GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+         1 + 1000000000 * (coalesce(c.n, 0) + 2) // (t.total + 2 * l.v) AS p,
+         1 + 1000000000 * (k.n + 2) // (l.total + 2 * l.v) AS q
+  FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+compared AS (
+  SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT lang, a.source, b.source AS item, coalesce(c.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b USING (lang) LEFT JOIN compared c
+    ON c.lang = a.lang AND c.source = a.source AND c.item = b.source WHERE a.source <> b.source),
+own AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+        FROM shares WHERE n > 0 AND p > q),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+          UNION ALL SELECT lang, source, 'term', item, value FROM own)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_duplicates": OP1,
     "op2_quality_rules": OP2,
     "op5_secrets": OP5,
     "op9_top_k": OP9,
     "op10_chat": OP10,
+    "op11_source_divergence": OP11,
 }

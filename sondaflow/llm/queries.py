@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sondaflow.llm import chat, dedup, kneser, langid, mixing, packing, ppm, quality, secrets, vafile
+from sondaflow.llm import chat, dedup, divergence, kneser, langid, mixing, packing, ppm, quality, secrets, vafile
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -84,6 +84,10 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.format_conversations(rows.unionByName(planted))))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audited(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_rules": op2_quality_rules,
@@ -95,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_top_k": op9_top_k,
     "op10_chat": op10_chat,
+    "op11_source_divergence": op11_source_divergence,
 }
