@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sondaflow.llm import chat, dedup, divergence, kneser, langid, mixing, packing, ppm, quality, secrets, vafile
+from sondaflow.llm import chat, dedup, divergence, kneser, langid, mixing, packing, ppm, quality, secrets, simhash, vafile, whitening
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -88,6 +88,14 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audited(_table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_rules": op2_quality_rules,
@@ -100,4 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_chat": op10_chat,
     "op11_source_divergence": op11_source_divergence,
+    "op12_whitening": op12_whitening,
+    "op13_simhash": op13_simhash,
 }
