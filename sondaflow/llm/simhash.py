@@ -85,20 +85,17 @@ def parts_of(free: list[int], count: int = RADIUS + 1) -> list[list[int]]:
     return [free[k * len(free) // count:(k + 1) * len(free) // count] for k in range(count)]
 
 
-def _dealt(rows: DataFrame, known: dict[str, list[int]]) -> tuple[DataFrame, dict[str, list[int]]]:
-    """Each row (print, parts) once for every next part of its free bits, with the value of all agreed
-    bits as its key. ``known`` has the free bits of the divisions so far, by their name."""
-    divided, steps = {}, []
-    for name, free in known.items():
-        for k, part in enumerate(parts_of(free)):
-            left = [b for b in free if b not in part]
-            divided[f"{name}{k}"] = left
-            mask = sum(1 << b for b in range(BITS) if b not in left)
-            mask -= (1 << BITS) if mask >> (BITS - 1) else 0
-            key = F.col("print").bitwiseAND(F.lit(mask))
-            steps.append(F.when(F.col("parts") == name, F.struct(F.lit(f"{name}{k}").alias("parts"), key.alias("key"))))
-    return (rows.withColumn("step", F.explode(F.filter(F.array(*steps), lambda s: s.isNotNull())))
-            .select("print", "step.parts", "step.key"), divided)
+def divisions(agreed: list[int]) -> list[tuple[int, int]]:
+    """Rows (mask, next): what buckets whose bits ``mask`` agree are divided by, as the bits that agree then."""
+    out = []
+    for mask in agreed:
+        for part in parts_of([b for b in range(BITS) if not mask >> b & 1]):
+            out.append((mask, mask | sum(1 << b for b in part)))
+    return out
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
 # ---- bit-sliced comparison
@@ -184,60 +181,56 @@ def forest(prints: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of the buckets of sorted rows; the last bucket waits for the rows that may follow."""
-    def links(name: np.ndarray, key: np.ndarray, prints: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        many = np.diff(np.append(starts, len(prints))) > 1
-        mine = np.repeat(many, np.diff(np.append(starts, len(prints))))
-        sizes = np.diff(np.append(starts, len(prints)))[many]
-        rows = prints[mine]
-        parent = forest(rows.view(np.uint64), np.concatenate(([0], np.cumsum(sizes))))
+    def links(prints: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        sizes = np.diff(np.append(starts, len(prints)))
+        rows = prints[np.repeat(sizes > 1, sizes)]
+        parent = forest(rows.view(np.uint64), np.concatenate(([0], np.cumsum(sizes[sizes > 1]))))
         joined = np.flatnonzero(parent != np.arange(len(rows)))
         return pa.RecordBatch.from_arrays([pa.array(rows[joined]), pa.array(rows[parent[joined]])], ["u", "v"])
 
-    def starts_of(name: np.ndarray, key: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])))[:len(key)])
+    def starts_of(mask: np.ndarray, key: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (mask[1:] != mask[:-1])))[:len(key)])
 
     held: list[list[np.ndarray]] = [[], [], []]
     for batch in batches:
-        for rows, column in zip(held, ("parts", "key", "print")):
+        for rows, column in zip(held, ("mask", "key", "print")):
             rows.append(np.asarray(batch.column(column)))
         if sum(map(len, held[2])) >= PLACES:
-            name, key, prints = map(np.concatenate, held)
-            starts = starts_of(name, key)
+            mask, key, prints = map(np.concatenate, held)
+            starts = starts_of(mask, key)
             last = starts[-1]
             if last:
-                yield links(name[:last], key[:last], prints[:last], starts[:-1])
-            held = [[name[last:]], [key[last:]], [prints[last:]]]
+                yield links(prints[:last], starts[:-1])
+            held = [[mask[last:]], [key[last:]], [prints[last:]]]
     if held[2]:
-        name, key, prints = map(np.concatenate, held)
+        mask, key, prints = map(np.concatenate, held)
         if len(prints):
-            yield links(name, key, prints, starts_of(name, key))
+            yield links(prints, starts_of(mask, key))
 
 
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Rows (u, v): a forest over the links between the distinct fingerprints of ``prints``."""
-    known = {"": list(range(BITS))}
-    rows = prints.select("print", F.lit("").alias("parts"))
-    found = None
+    spark, keys = prints.sparkSession, ["mask", "key"]
+    rows, agreed, found = prints.select("print", F.lit(0).cast("long").alias("mask")), [0], None
     while True:
-        rows, known = _dealt(rows, known)
-        last = max(map(len, known.values()))
+        steps = divisions(agreed)
+        # At most 3 rows for each of the masks, which are 3 more with every division, of which there are few.
+        table = F.broadcast(spark.createDataFrame([(_signed(m), _signed(n)) for m, n in steps], "mask long, next long"))
+        rows = rows.join(table, "mask").select(
+            "print", F.col("next").alias("mask"), F.col("print").bitwiseAND(F.col("next")).alias("key"))
         large = None
-        if 1 << last > bucket:
-            large = written(rows.groupBy("parts", "key").agg(F.count(F.lit(1)).alias("n"))
-                            .filter(F.col("n") > bucket).select("parts", "key"), "large")
-            large = None if large.isEmpty() else large
-        small = rows.join(large, ["parts", "key"], "left_anti") if large is not None else rows
-        # Names of divisions are numbers in tasks.
-        names = sorted(known)
-        number = F.array_position(F.array(*map(F.lit, names)), F.col("parts")).cast("int")
-        new = written(
-            small.select(number.alias("parts"), "key", "print").repartition("parts", "key")
-            .sortWithinPartitions("parts", "key", "print").mapInArrow(_linked, "u long, v long"), "links")
+        if 1 << max(BITS - n.bit_count() for _, n in steps) > bucket:
+            large = written(rows.groupBy(keys).agg(F.count(F.lit(1)).alias("n"))
+                            .filter(F.col("n") > bucket).select(keys), "large")
+            agreed = sorted(r.mask % (1 << BITS) for r in large.select("mask").distinct().collect())
+            large = large if agreed else None
+        small = rows.join(large, keys, "left_anti") if large is not None else rows
+        new = written(small.repartition(*keys).sortWithinPartitions(*keys, "print")
+                      .mapInArrow(_linked, "u long, v long"), "links")
         found = new if found is None else found.unionByName(new)
         if large is None:
             return found
-        # The divisions of large buckets.
-        rows = written(rows.join(large, ["parts", "key"], "left_semi").select("print", "parts"), "again")
+        rows = written(rows.join(large, keys, "left_semi").select("print", "mask"), "again")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3,

@@ -161,8 +161,9 @@ def _clusters(values: np.ndarray, gap: HIGH) -> list[np.ndarray]:
     return [c for c in np.split(order, apart) if len(c) > 1]
 
 
-def _turn(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, HIGH, HIGH]:
-    """One turn: better vectors, eigenvalues, the gap that this turn could tell, and the size of its step."""
+def _turn(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, HIGH, HIGH, int]:
+    """One turn: better vectors, eigenvalues, the gap that this turn could tell, the size of its step, and
+    how many pairs of eigenvalues it could tell apart."""
     r = np.eye(len(a), dtype=HIGH) - x.T @ x
     s = x.T @ (a @ x)
     values = np.diag(s) / (1 - np.diag(r))
@@ -173,7 +174,7 @@ def _turn(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, HIGH, H
     apart = values[None, :] - values[:, None]
     far = np.abs(apart) > gap
     step = np.where(far, (s + values[None, :] * r) / np.where(far, apart, 1), r / 2)
-    return x + x @ step, values, gap, np.abs(step).max()
+    return x + x @ step, values, gap, np.abs(step).max(), int(far.sum())
 
 
 def eigenvectors(covariance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,8 +190,9 @@ def eigenvectors(covariance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     tiny = np.finfo(HIGH).eps * len(a)
     solved, last = 0, None
     for _ in range(TURNS):
-        x, values, gap, step = _turn(a, x)
-        if last is not None and (step <= tiny or step >= last / 2):  # no further by these turns
+        x, values, gap, step, pairs = _turn(a, x)
+        # A pair that is told apart for the first time may be turned far; else the turns come to an end.
+        if last is not None and pairs == last[1] and (step <= tiny or step >= last[0] / 2):
             clusters = _clusters(values, gap)
             if not clusters or solved >= 2:
                 break
@@ -205,7 +207,7 @@ def eigenvectors(covariance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                     x[:, cluster] = part @ np.linalg.eigh((inner / width).astype(np.float64))[1].astype(HIGH)
             last = None
             continue
-        last = step
+        last = step, pairs
     x = x + x @ ((np.eye(len(a), dtype=HIGH) - x.T @ x) / 2)
     order = np.argsort(-values, kind="stable")
     x = x[:, order] / np.sqrt((x[:, order] ** 2).sum(axis=0))

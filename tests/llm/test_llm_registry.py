@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert names == list(QUERIES) == sorted(names, key=lambda n: int(n[2:].split("_")[0])) and len(names) == 10
+    assert names == list(QUERIES) == sorted(names, key=lambda n: int(n[2:].split("_")[0])) and len(names) == 13
     assert "pipeline" in entry_points.queries()
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 
