@@ -2,8 +2,9 @@
 
 A measure is called with the star, the columns to group by and a context, and
 returns those columns and its value. Series measures need ``data`` among the
-columns; the other columns name the series. ``measures`` evaluates several of one
-kind over one fact in one aggregate.
+columns; the other columns name the series. ``measures`` evaluates any set of them as
+one plan. What does not filter a measure, as the calendar where it is dropped or a column
+of another fact, leaves its value the same for all groups.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sondaflow.functions.dates import day_month_year
-from sondaflow.functions.numbers import divergence_colour, table_colour
+from sondaflow.functions.numbers import blank_minus, divergence_colour, table_colour
 from sondaflow.functions.text import bold_digits, currency_label, percent_label
 from sondaflow.measures import shapes
 from sondaflow.measures.context import EVERYTHING, Context, Star, dimension_columns, inside, rows_in
+from sondaflow.measures.sets import Piece, Recipe, evaluated
+from sondaflow.measures.spread import calendar_columns, owned, reaching, spread
 
 # Fixed values of the report: the projected year and the computation base of the cards.
 CARD_YEAR = 2026
@@ -44,17 +47,6 @@ def _series_of(by: list[str]) -> list[str]:
     return [c for c in by if c != "data"]
 
 
-def _of_calendar(star: Star, by: list[str]) -> list[str]:
-    return [c for c in by if c == "data" or c == "data_sk" or c in star.calendar.columns]
-
-
-def _free_of_calendar(star: Star, by: list[str]) -> None:
-    """These measures drop calendar filters, and a calendar group is such a filter."""
-    clash = _of_calendar(star, by)
-    if clash:
-        raise ValueError(f"the measure ignores the calendar, so it cannot be grouped by {clash}")
-
-
 class Kind:
     """How a measure is evaluated. Measures of equal ``batch`` share one aggregate."""
 
@@ -65,6 +57,10 @@ class Kind:
                  cards: Cards) -> DataFrame:
         raise TypeError
 
+    def recipe(self) -> Recipe:
+        """What the measure is made of in a set; without pieces it is evaluated apart."""
+        return Recipe()
+
 
 @dataclass(frozen=True)
 class Average(Kind):
@@ -82,6 +78,10 @@ class Average(Kind):
                                 {f"_{c}": c for c in dict.fromkeys(k.column for k in named.values())})
         return means.select(*by, *[k.show(F.col(f"_{k.column}")).alias(n) for n, k in named.items()])
 
+    def recipe(self):
+        piece = Piece(self.fact, "mean", self.column)
+        return Recipe((piece,), lambda by: self.show(F.col(piece.name)), shows=self.show is not divergence_colour)
+
 
 @dataclass(frozen=True)
 class Selected(Average):
@@ -90,6 +90,10 @@ class Selected(Average):
     def together(self, star, named, by, context, cards):
         return shapes.single_values(_grouped(star, self.fact, by, context), by, {n: k.column for n, k in named.items()})
 
+    def recipe(self):
+        piece = Piece(self.fact, "single", self.column)
+        return Recipe((piece,), lambda by: F.col(piece.name))
+
 
 @dataclass(frozen=True)
 class Point(Average):
@@ -101,6 +105,10 @@ class Point(Average):
         daily = shapes.by_date(_grouped(star, self.fact, by, context), series, {f"_{c}": c for c in columns})
         return daily.select(*by, *[k.show(shapes.last_point(series, f"_{k.column}")).alias(n) for n, k in named.items()])
 
+    def recipe(self):
+        piece = Piece(self.fact, "mean", self.column)
+        return Recipe((piece,), lambda by: self.show(shapes.last_point(_series_of(by), piece.name)))
+
 
 @dataclass(frozen=True)
 class Highlight(Kind):
@@ -117,6 +125,9 @@ class Highlight(Kind):
         split = shapes.with_highlight(daily, series, "_value", "highlight_start", "median_history", "median_recent")
         return split.select(*by, *[F.col(k.part).alias(n) for n, k in named.items()])
 
+    def recipe(self):
+        return Recipe((Piece("expectations", "mean", "mediana"),), highlight=self.part)
+
 
 def _spread(groups: DataFrame, found: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
     """Each group with the values found for these columns of it, nulls included; without columns there
@@ -149,8 +160,9 @@ class Card(Kind):
         return columns | {"base_calculo": F.col("base_calculo") == cards.base} if self.fact == "expectations" else columns
 
     def together(self, star, named, by, context, cards):
-        _free_of_calendar(star, by)
-        fixed = self.fixed(cards)
+        """The measure drops the calendar, so every day and month shows the same value."""
+        fixed, every = self.fixed(cards), by
+        by = [c for c in by if c not in calendar_columns(star, by)]
         mine = F.col("indicador").isin(*(k.indicator for k in named.values()))
         kept = [c for c in by if c not in fixed]
         narrowed = context.without_calendar().fixing(self.fact, {**fixed, "indicador": mine})
@@ -159,10 +171,10 @@ class Card(Kind):
         found = shapes.as_of_own_last_date(rows, [*kept, "_card"], {"_value": self.column}, counts)
         found = found.groupBy(*kept).agg(*[
             F.max(F.when(F.col("_card") == k.indicator, F.col("_value"))).alias(n) for n, k in named.items()])
-        if len(kept) == len(by):
-            return found
-        groups = _grouped(star, self.fact, by, context).select(*by).distinct()
-        return _spread(groups, found, kept, list(named))
+        if len(kept) < len(by):
+            groups = _grouped(star, self.fact, by, context).select(*by).distinct()
+            found = _spread(groups, found, kept, list(named))
+        return spread(found, by, dict.fromkeys(every), star, context).select(*every, *named)
 
 
 @dataclass(frozen=True)
@@ -173,6 +185,10 @@ class OnLastDate(Average):
         rows = shapes.on_last_date_of(_grouped(star, self.fact, by, context), getattr(star, self.fact))
         return shapes.averages(rows, by, {n: k.column for n, k in named.items()})
 
+    def recipe(self):
+        piece = Piece(self.fact, "last", self.column)
+        return Recipe((piece,), lambda by: F.col(piece.name))
+
 
 @dataclass(frozen=True)
 class CurrentRate(Average):
@@ -181,20 +197,28 @@ class CurrentRate(Average):
 
     def together(self, star, named, by, context, cards):
         rows, within = inside(star, self.fact, context)
-        own = [c for c in by if c not in _of_calendar(star, by)]
+        own = [c for c in by if c not in calendar_columns(star, by)]
         return shapes.as_of_last_date_of(
             dimension_columns(star, rows, by), by, own, {n: k.column for n, k in named.items()}, within)
 
+    def recipe(self):
+        return Recipe()
+
 
 @dataclass(frozen=True)
 class Alone(Kind):
-    """A measure of its own kind."""
+    """A measure of its own kind, over the rows of ``fact`` where a set evaluates it apart."""
 
     evaluate: Callable[[Star, list[str], Context], DataFrame]
+    made_of: Recipe = Recipe()
+    fact: str = "expectations"
 
     def together(self, star, named, by, context, cards):
         return self.evaluate(star, by, context)
 
+    def recipe(self):
+        return self.made_of
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -202,29 +226,37 @@ class Measure:
     kind: Kind
 
 
+TOP5_MEAN, MARKET_MEAN = Piece("comparison", "mean", "mediana_top5"), Piece("expectations", "mean", "mediana")
+LAST_SPREAD = Piece("comparison", "last", "divergencia_top5_mercado")
+DIFFERENCE = Recipe((TOP5_MEAN, MARKET_MEAN), lambda by: blank_minus(F.col(TOP5_MEAN.name), F.col(MARKET_MEAN.name)))
+LAST_SIGN = Recipe((LAST_SPREAD,), lambda by: table_colour(F.col(LAST_SPREAD.name)), shows=False)
+
+
 def divergence(star: Star, by: list[str], context: Context) -> DataFrame:
-    """Top 5 median minus market median, each over its own fact. Only the shared dimensions
-    reach both facts; a column that each fact has for itself would filter one of them."""
-    own = [c for c in by if c not in star.indicators.columns and c not in star.calendar.columns]
-    if own:
-        raise ValueError(f"not a shared dimension: {own}")
-    return shapes.mean_difference(
-        _grouped(star, "comparison", by, context), "mediana_top5",
-        _grouped(star, "expectations", by, context), "mediana", by, "divergence")
+    """Top 5 median minus market median, each over its own fact. The shared dimensions reach both facts;
+    a column of one fact (``fact.column`` where both have one) filters that fact only, and the other's
+    median stands beside each of its groups."""
+    if all(c in star.indicators.columns or c in star.calendar.columns for c in by):
+        return shapes.mean_difference(
+            _grouped(star, "comparison", by, context), "mediana_top5",
+            _grouped(star, "expectations", by, context), "mediana", by, "divergence")
+    return evaluated(star, {"divergence": DIFFERENCE}, [], owned(star, by, ["comparison", "expectations"]), context)
 
 
 def last_survey_date(star: Star, by: list[str], context: Context) -> DataFrame:
-    """The filter on the calendar's date is dropped, so a date cannot be a group; a month can."""
-    if "data" in by:
-        raise ValueError("the measure ignores the date, so it cannot be grouped by it")
-    rows = _grouped(star, "expectations", by, context.without_day())
-    return rows.groupBy(*by).agg(F.max("data").alias("last_survey_date"))
+    """The filter on the calendar's date is dropped: a date as a group shows the last one of its other groups."""
+    kept = [c for c in by if c not in ("data", "data_sk")]
+    rows = _grouped(star, "expectations", kept, context.without_day())
+    found = rows.groupBy(*kept).agg(F.max("data").alias("last_survey_date"))
+    return spread(found, kept, dict.fromkeys(by), star, context).select(*by, "last_survey_date")
 
 
 def last_median(star: Star, by: list[str], context: Context) -> DataFrame:
-    _free_of_calendar(star, by)
-    rows = _grouped(star, "expectations", by, context.without_calendar())
-    return shapes.filled_last_date(rows, by, "mediana", "kpi_last_median").drop("data")
+    """The measure drops the calendar, so every day and month shows the same value."""
+    kept = [c for c in by if c not in calendar_columns(star, by)]
+    rows = _grouped(star, "expectations", kept, context.without_calendar())
+    found = shapes.filled_last_date(rows, kept, "mediana", "kpi_last_median").drop("data")
+    return spread(found, kept, dict.fromkeys(by), star, context).select(*by, "kpi_last_median")
 
 
 def table_sign(star: Star, by: list[str], context: Context) -> DataFrame:
@@ -251,7 +283,7 @@ def latest_text(star: Star, by: list[str] | None = None,
 MEASURES: dict[str, Measure] = {
     "median_market": Measure(1, Average("expectations", "mediana")),
     "median_top5": Measure(2, Average("comparison", "mediana_top5")),
-    "divergence": Measure(3, Alone(divergence)),
+    "divergence": Measure(3, Alone(divergence, DIFFERENCE)),
     "real_rate": Measure(4, Selected("real_rate", "taxa_juro_real_ex_ante")),
     "policy_rate": Measure(5, Selected("real_rate", "taxa_selic_meta_aa")),
     "last_percent_label": Measure(6, Point("expectations", "mediana", percent_label)),
@@ -278,7 +310,7 @@ MEASURES: dict[str, Measure] = {
     "market_last_date": Measure(27, OnLastDate("comparison", "mediana_mercado")),
     "top5_last_date": Measure(28, OnLastDate("comparison", "mediana_top5")),
     "divergence_last_date": Measure(29, OnLastDate("comparison", "divergencia_top5_mercado")),
-    "table_colour": Measure(30, Alone(table_sign)),
+    "table_colour": Measure(30, Alone(table_sign, LAST_SIGN)),
     "kpi_policy_rate": Measure(31, CurrentRate("real_rate", "taxa_selic_meta_aa")),
     "kpi_inflation": Measure(32, CurrentRate("real_rate", "ipca_esperado_12m")),
     "kpi_real_rate": Measure(33, CurrentRate("real_rate", "taxa_juro_real_ex_ante")),
@@ -293,12 +325,34 @@ MEASURES: dict[str, Measure] = {
 
 
 def measures(names: list[str], star: Star, by: list[str] | None = None, context: Context = EVERYTHING,
-             cards: Cards = Cards()) -> DataFrame:
-    """Several measures of one kind over one fact: their columns beside the groups, from one aggregate."""
-    named = {n: MEASURES[n].kind for n in names}
-    if len({k.batch() for k in named.values()}) != 1:
-        raise ValueError(f"not measures of one kind over one fact: {names}")
-    return named[names[0]].together(star, named, by or [], context, cards)
+             cards: Cards = Cards(), shown: list[str] | None = None) -> DataFrame:
+    """Several measures beside their groups.
+
+    Measures of one kind over one fact are one aggregate and keep all groups of the fact. Any other set,
+    and one with ``shown``, is planned as ``sets`` says; groups in which all of ``shown`` are blank (by
+    default all measures but colours) are left out.
+    """
+    named, by = {n: MEASURES[n].kind for n in names}, by or []
+    if shown is None and len({k.batch() for k in named.values()}) == 1:
+        return named[names[0]].together(star, named, by, context, cards)
+    text = [n for n in names if n == "latest_text"]
+    recipes = {n: k.recipe() for n, k in named.items() if n not in text}
+    if not recipes:
+        raise ValueError("the newest observation has no groups to be shown in")
+    facts = dict.fromkeys(p.fact for r in recipes.values() for p in r.pieces)
+    alone: dict[tuple, dict[str, Kind]] = {}
+    for n, recipe in recipes.items():
+        if not recipe.pieces:
+            alone.setdefault(named[n].batch(), {})[n] = named[n]
+            facts[named[n].fact] = None
+    owners = owned(star, by, list(facts))
+    apart = []
+    for few in alone.values():
+        first = next(iter(few.values()))
+        keys = reaching(star, first.fact, owners)
+        apart.append(spread(first.together(star, few, keys, context, cards), keys, owners, star, context))
+    found = evaluated(star, recipes, apart, owners, context, shown)
+    return found.withColumn("latest_text", latest_text(star).scalar()) if text else found
 
 
 def measure(name: str, star: Star, by: list[str] | None = None,

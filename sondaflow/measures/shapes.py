@@ -7,6 +7,8 @@ are already reduced to one row per date.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sondaflow.functions.numbers import blank_minus, is_filled, mean_of, single_value
@@ -86,7 +88,7 @@ def with_highlight(daily: DataFrame, series: list[str], value: str, start: str,
 
 def shown(daily: DataFrame, measures: list[str]) -> DataFrame:
     """A visual drops the rows in which all its measures are blank."""
-    return daily.filter(F.coalesce(*[F.col(m) for m in measures]).isNotNull())
+    return daily.filter(reduce(Column.__or__, [F.col(m).isNotNull() for m in measures]))
 
 
 # ----------------------------------------------------------------- as of

@@ -8,17 +8,19 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from sondaflow.functions.dates import trailing_months
-from sondaflow.functions.numbers import divergence_colour, table_colour
-from sondaflow.functions.text import currency_label, currency_thousands, percent_label, signed_points
+from sondaflow.functions.numbers import divergence_colour
+from sondaflow.functions.text import currency_thousands, percent_label, signed_points
 from sondaflow.measures import shapes
-from sondaflow.measures.catalogue import CARD_BASE, CARD_YEAR, latest_text
-from sondaflow.measures.context import Star
+from sondaflow.measures.catalogue import CARD_BASE, CARD_YEAR, latest_text, measures
+from sondaflow.measures.context import Context, Star
 
 CHART_MONTHS = 6
 CURRENCY = "Câmbio"
 
-COMPARISON_CHART = {"median_top5": "mediana_top5", "comparison_market": "mediana_mercado",
-                    "spread": "divergencia_top5_mercado"}
+OVERVIEW_CHART = ["median_history", "median_recent", "last_point"]
+COMPARISON_MEANS = ["median_top5", "comparison_market", "spread"]
+COMPARISON_POINTS = ["top5_point", "market_point"]
+TABLE_MEANS = ["market_last_date", "top5_last_date", "divergence_last_date"]
 RATE_COLUMNS = {"real_rate": "taxa_juro_real_ex_ante", "inflation": "ipca_esperado_12m",
                 "policy_rate": "taxa_selic_meta_aa"}
 
@@ -28,23 +30,26 @@ def _only(rows: DataFrame, column: str, members: list | None) -> DataFrame:
     return rows if members is None else rows.filter(F.col(column).isin(members))
 
 
+def _chart_context(fact: str, as_of: date, indicators: list[str] | None, months: int, **fixed: int) -> Context:
+    """The filters of a chart: its last months, the values it fixes, its list of indicators."""
+    filters = {c: F.col(c) == value for c, value in fixed.items()}
+    filters["data"] = trailing_months(F.col("data"), as_of, months)
+    if indicators is not None:
+        filters["indicador"] = F.col("indicador").isin(indicators)
+    return Context(facts={fact: filters})
+
+
 # --------------------------------------------------------- page 1: overview
 
 def overview_charts(star: Star, as_of: date, indicators: list[str] | None = None,
                     year: int = CARD_YEAR, base: int = CARD_BASE,
                     months: int = CHART_MONTHS) -> DataFrame:
     """History, recent part and last point of every indicator's projection for one year."""
-    rows = _only(star.expectations, "indicador", indicators).filter(
-        (F.col("ano_referencia") == year) & (F.col("base_calculo") == base)
-        & trailing_months(F.col("data"), as_of, months))
-    daily = shapes.by_date(rows, ["indicador"], {"median_market": "mediana"})
-    chart = shapes.with_highlight(daily, ["indicador"], "median_market", "highlight_start",
-                                  "median_history", "median_recent", "last_point")
-    value = F.col("last_point")
-    text = F.when(F.col("indicador") == CURRENCY, currency_label(value)).otherwise(percent_label(value))
-    return shapes.shown(chart, ["last_point", "median_history", "median_recent"]).select(
-        "indicador", "data", "median_history", "median_recent", "last_point",
-        text.alias("last_label")).orderBy("indicador", "data")
+    context = _chart_context("expectations", as_of, indicators, months, ano_referencia=year, base_calculo=base)
+    chart = measures([*OVERVIEW_CHART, "last_percent_label", "last_currency_label"], star, ["indicador", "data"],
+                     context, shown=OVERVIEW_CHART)
+    text = F.when(F.col("indicador") == CURRENCY, F.col("last_currency_label")).otherwise(F.col("last_percent_label"))
+    return chart.select("indicador", "data", *OVERVIEW_CHART, text.alias("last_label")).orderBy("indicador", "data")
 
 
 def overview_cards(star: Star, indicators: list[str] | None = None,
@@ -64,16 +69,9 @@ def overview_cards(star: Star, indicators: list[str] | None = None,
 def comparison_charts(star: Star, as_of: date, indicators: list[str] | None = None,
                       year: int = CARD_YEAR, months: int = CHART_MONTHS) -> DataFrame:
     """Top 5 beside market by date with the pointers and labels of their last dates."""
-    rows = _only(star.comparison, "indicador", indicators).filter(
-        (F.col("ano_referencia") == year) & trailing_months(F.col("data"), as_of, months))
-    daily = shapes.by_date(rows, ["indicador"], COMPARISON_CHART)
-    chart = shapes.with_last_points(daily, ["indicador"], {
-        "top5_point": "median_top5", "market_point": "comparison_market"})
-    return shapes.shown(
-        chart, ["median_top5", "comparison_market", "top5_point", "market_point"]).select(
-        "indicador", "data", *COMPARISON_CHART, "top5_point", "market_point",
-        percent_label(F.col("top5_point")).alias("top5_label"),
-        percent_label(F.col("market_point")).alias("market_label")).orderBy("indicador", "data")
+    context = _chart_context("comparison", as_of, indicators, months, ano_referencia=year)
+    return measures([*COMPARISON_MEANS, *COMPARISON_POINTS, "top5_label", "market_label"], star, ["indicador", "data"],
+                    context, shown=["median_top5", "comparison_market", *COMPARISON_POINTS]).orderBy("indicador", "data")
 
 
 def divergence_columns(star: Star, as_of: date, indicators: list[str] | None = None,
@@ -88,13 +86,8 @@ def divergence_columns(star: Star, as_of: date, indicators: list[str] | None = N
 
 def comparison_table(star: Star) -> DataFrame:
     """Indicator, year and signal on the last date of the whole comparison, without any filter."""
-    latest = shapes.on_last_date_of(star.comparison, star.comparison)
-    table = shapes.averages(latest, ["indicador", "ano_referencia", "sinal_posicionamento"], {
-        "market_last_date": "mediana_mercado", "top5_last_date": "mediana_top5",
-        "divergence_last_date": "divergencia_top5_mercado"})
-    visible = shapes.shown(table, ["market_last_date", "top5_last_date", "divergence_last_date"])
-    return visible.withColumn(
-        "table_colour", table_colour(F.col("divergence_last_date"))).orderBy("ano_referencia")
+    return measures([*TABLE_MEANS, "table_colour"], star, ["indicador", "ano_referencia", "sinal_posicionamento"],
+                    shown=TABLE_MEANS).orderBy("ano_referencia")
 
 
 def divergence_cards(star: Star, indicators: list[str] | None = None,

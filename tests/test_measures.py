@@ -94,7 +94,7 @@ def test_difference_across_facts(star):
     assert found["Câmbio"] == pytest.approx(-7.0617)  # no Top 5 rows: zero minus the market
     nothing = Context(days=(date(2030, 1, 1), None))
     assert alone(measure("divergence", star, [], nothing)) is None
-    with pytest.raises(ValueError, match="shared"):
+    with pytest.raises(ValueError, match="say whose"):
         measure("divergence", star, ["ano_referencia"])
     assert values(measure("divergence", star, ["ano_mes"]), "ano_mes") == {
         "2024-01": pytest.approx(4.75 - 39.1234 / 6), "2024-02": 3.0}
@@ -171,8 +171,11 @@ def test_last_survey_date_drops_only_the_date_filter(star):
     context = Context(days=(None, D1), calendar=F.col("mes") == 1)
     assert values(measure("last_survey_date", star, ["indicador"], context), "indicador")["IPCA"] == D2
     assert values(measure("last_survey_date", star, ["ano_mes"], context), "ano_mes") == {"2024-01": D2}
-    with pytest.raises(ValueError, match="date"):
-        measure("last_survey_date", star, ["data"])
+    by_day = values(measure("last_survey_date", star, ["data"], context), "data")
+    assert len(by_day) == 29 * 31 + 1 and set(by_day.values()) == {D2}  # the context's days, the date's filter dropped
+    of_month = Context(calendar=F.col("ano_mes") == "2024-01")
+    by_day = values(measure("last_survey_date", star, ["ano_mes", "data"], of_month), "ano_mes", "data")
+    assert len(by_day) == 31 and set(by_day.values()) == {D2}
 
 
 def test_last_median_skips_zero_and_null_days(star):
@@ -184,8 +187,77 @@ def test_last_median_skips_zero_and_null_days(star):
     assert alone(measure("kpi_ipca", star, [], filtered)) == 6.0  # the calendar filter is ignored
     assert alone(measure("kpi_pib", star)) is None
     assert alone(measure("kpi_dolar", star)) == 5.1234
-    with pytest.raises(ValueError, match="calendar"):
-        measure("kpi_last_median", star, ["ano_mes"])
+
+
+def test_calendar_groups_of_measures_that_drop_the_calendar(star):
+    year = Context(calendar=F.col("ano") == 2024)
+    months = [f"2024-{m:02}" for m in range(1, 13)]
+    assert values(measure("kpi_ipca", star, ["ano_mes"], year), "ano_mes") == dict.fromkeys(months, 6.0)
+    found = values(measure("kpi_last_median", star, ["indicador", "ano_mes"], year), "indicador", "ano_mes")
+    alone_by = values(measure("kpi_last_median", star, ["indicador"]), "indicador")
+    assert found == {(i, m): v for i, v in alone_by.items() for m in months}
+    conflict = measures(["kpi_ipca", "kpi_selic"], star, ["ano_referencia", "trimestre"], year).collect()
+    assert {(r.ano_referencia, r.trimestre) for r in conflict} == {(y, t) for y in (2026, 2027) for t in (1, 2, 3, 4)}
+    assert {r.kpi_ipca for r in conflict} == {6.0}
+    before = Context(days=(D2, D3))  # groups are the context's days, the value is not filtered
+    assert len(values(measure("kpi_ipca", star, ["data"], before), "data")) == (D3 - D2).days + 1
+
+
+def test_a_column_of_one_fact_as_a_group_of_a_difference(star):
+    market = values(measure("median_market", star, ["indicador"]), "indicador")
+    found = values(measure("divergence", star, ["indicador", "sinal_posicionamento"]), "indicador", "sinal_posicionamento")
+    assert set(found) == {(i, s) for i in market for s in ("up", "down", "same")}
+    assert found["IPCA", "up"] == 4.5 - market["IPCA"] and found["IPCA", "same"] == -market["IPCA"]
+    years = values(measure("divergence", star, ["comparison.ano_referencia"]), "ano_referencia")
+    whole = alone(measure("median_market", star, []))
+    assert years == {2026: pytest.approx(18.5 / 3 - whole), 2027: pytest.approx(9.0 - whole)}
+    other = values(measure("divergence", star, ["expectations.ano_referencia"]), "ano_referencia")
+    assert other[2027] == pytest.approx(27.5 / 4 - 9.0)
+    with pytest.raises(ValueError, match="no such column"):
+        measure("divergence", star, ["comparison.base_calculo"])
+    with pytest.raises(ValueError, match="cannot be grouped"):
+        measure("divergence", star, ["nonsense"])
+
+
+@pytest.mark.parametrize("by, context", [
+    (["indicador"], Context), ([], Context), (["ano_mes"], lambda: Context(days=(None, D2))),
+    (["indicador", "ano_mes"], lambda: Context(calendar=F.col("ano") == 2024, indicator=F.col("indicador_id") < 3))])
+def test_a_set_gives_what_its_measures_give_alone(star, by, context):
+    context = context()
+    names = ["median_market", "median_top5", "divergence", "spread", "divergence_colour", "market_last_date",
+             "kpi_ipca", "kpi_divergence_selic", "last_survey_date", "table_colour"]
+    rows = {tuple(r[c] for c in by): r for r in measures(names, star, by, context).collect()}
+    for name in names:
+        for r in measure(name, star, by, context).collect():
+            key = tuple(r[c] for c in by)
+            if r[name] is not None and (key in rows or "colour" not in name):
+                assert rows[key][name] == pytest.approx(r[name]) if isinstance(r[name], float) else rows[key][name] == r[name]
+    assert all(any(r[n] is not None for n in names if "colour" not in n) for r in rows.values()) or not by
+
+
+def test_a_set_over_facts_that_a_group_does_not_filter(star):
+    """The rates have no indicator and no signal: they stand beside each."""
+    found = measures(["real_rate_history", "spread", "median_market"], star, ["indicador", "sinal_posicionamento"]).collect()
+    rate = alone(measure("real_rate_history", star))
+    assert {r.real_rate_history for r in found} == {rate}
+    assert len(found) == len({(r.indicador, r.sinal_posicionamento) for r in found}) == 3 * star.indicators.count()
+
+
+def test_points_and_highlights_in_a_set(star):
+    by = ["indicador", "data"]
+    names = ["median_history", "median_recent", "last_point", "last_percent_label", "median_market", "top5_point", "top5_label"]
+    rows = {(r.indicador, r.data): r for r in measures(names, star, by).collect()}
+    for name in names:
+        for key, value in values(measure(name, star, by), *by).items():
+            assert value is None or rows[key][name] == value
+    text = measures(["last_point", "spread", "latest_text"], star, by).collect()
+    assert {r.latest_text for r in text} == {measure("latest_text", star).first()[0]}
+
+
+def test_too_many_members_are_refused(star, monkeypatch):
+    monkeypatch.setattr("sondaflow.measures.spread.MOST_MEMBERS", 2)
+    with pytest.raises(Exception, match="do not filter"):
+        measure("divergence", star, ["indicador", "sinal_posicionamento"]).collect()
 
 
 def test_zero_on_the_last_date_still_counts_in_its_average(spark):
@@ -283,8 +355,10 @@ def test_indicator_attributes_are_groups(star):
 def test_several_measures_are_one_kind(star):
     both = measures(["spread", "divergence_colour"], star, ["indicador"])
     assert both.columns == ["indicador", "spread", "divergence_colour"]
-    with pytest.raises(ValueError, match="one kind"):
-        measures(["spread", "median_market"], star)
+    mixed = measures(["spread", "median_market"], star, ["indicador"])
+    assert {r.indicador: r.spread for r in mixed.collect()} == {"IPCA": -0.25, "Selic": 0.5, "Câmbio": None}
+    with pytest.raises(ValueError, match="no groups"):
+        measures(["latest_text"], star, ["indicador"], shown=["latest_text"])
 
 
 # ---------------------------------------------------------------- reports

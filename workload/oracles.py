@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sondaflow.plans import catalog
 from sondaflow.specs import ColumnTest
-from workload.means import MEANS
+from workload.means import DIGITS, MEANS
 
 # ------------------------------------------------------------ expressions
 
@@ -434,6 +434,58 @@ ORACLES: dict[str, str] = {
                     THEN coalesce(top5, 0) - coalesce(market, 0) END AS divergence
         FROM t FULL JOIN m USING (indicador, ano, semestre)""",
         "expectations", "comparison", "calendar"),
+    "measure_set_by_quarter": with_tables(f"""
+        e AS (SELECT ano, trimestre, {mean('mediana')} AS median_market, max(data) AS last_survey_date
+              FROM expectations JOIN calendar USING (data_sk, data) GROUP BY ALL),
+        c AS (SELECT ano, trimestre, {mean('mediana_top5')} AS median_top5, {mean('divergencia_top5_mercado')} AS spread,
+                     avg(mediana_top5) FILTER (WHERE data = (SELECT max(data) FROM comparison)) AS top5_last_date
+              FROM comparison JOIN calendar USING (data_sk, data) GROUP BY ALL),
+        r AS (SELECT ano, trimestre, {mean('taxa_juro_real_ex_ante')} AS real_rate_history,
+                     CASE WHEN count(DISTINCT taxa_selic_meta_aa) = 1 AND count(taxa_selic_meta_aa) = count(*)
+                          THEN max(taxa_selic_meta_aa) END AS policy_rate,
+                     avg(taxa_juro_real_ex_ante) FILTER (WHERE data = (SELECT max(data) FROM real_rate)) AS kpi_real_rate
+              FROM real_rate JOIN calendar USING (data_sk, data) GROUP BY ALL)
+        SELECT ano, trimestre, median_market, median_top5,
+               CASE WHEN median_top5 IS NOT NULL OR median_market IS NOT NULL
+                    THEN coalesce(median_top5, 0) - coalesce(median_market, 0) END AS divergence,
+               spread, {colour('spread')} AS divergence_colour, real_rate_history, policy_rate, top5_last_date,
+               last_survey_date, kpi_real_rate
+        FROM e FULL JOIN c USING (ano, trimestre) FULL JOIN r USING (ano, trimestre)""",
+        "expectations", "comparison", "real_rate", "calendar"),
+    "calendar_free_by_month": with_tables(f"""
+        months AS (SELECT DISTINCT ano_mes FROM calendar WHERE ano = 2024),
+        m AS (SELECT ano_mes, {mean('mediana')} AS median_market, max(data) AS last_survey_date
+              FROM news_expectations JOIN calendar USING (data_sk, data) WHERE ano = 2024 GROUP BY ALL),
+        survey AS (SELECT * FROM news_expectations WHERE indicador = 'IPCA' AND ano_referencia = 2025 AND base_calculo = 0),
+        top AS (SELECT * FROM news_comparison WHERE indicador = 'IPCA' AND ano_referencia = 2025)
+        SELECT ano_mes, (SELECT {mean('mediana')} FROM survey
+                         WHERE data = (SELECT max(data) FROM survey WHERE mediana <> 0)) AS kpi_ipca,
+               (SELECT {mean('divergencia_top5_mercado')} FROM top WHERE data = (SELECT max(data) FROM top))
+                   AS kpi_divergence_ipca, last_survey_date, median_market
+        FROM months LEFT JOIN m USING (ano_mes)""", "news_expectations", "news_comparison", "calendar"),
+    "newest_dates_by_day": with_tables("""
+        n AS (SELECT indicador, ano_mes, max(data) AS last_survey_date
+              FROM news_expectations JOIN calendar USING (data_sk, data) WHERE ano = 2024 GROUP BY ALL)
+        SELECT indicador, ano_mes, data, last_survey_date FROM n JOIN calendar USING (ano_mes)
+        WHERE data <= DATE '2024-02-10'""", "news_expectations", "calendar"),
+    "divergence_by_signal": with_tables(f"""
+        m AS (SELECT indicador, {mean('mediana')} AS market FROM expectations GROUP BY ALL),
+        signals AS (SELECT DISTINCT sinal_posicionamento FROM comparison),
+        t AS (SELECT indicador, sinal_posicionamento, {mean('mediana_top5')} AS top5 FROM comparison GROUP BY ALL),
+        groups AS (SELECT indicador, sinal_posicionamento FROM m CROSS JOIN signals
+                   UNION SELECT indicador, sinal_posicionamento FROM t)
+        SELECT indicador, sinal_posicionamento, coalesce(top5, 0) - coalesce(market, 0) AS divergence
+        FROM groups LEFT JOIN m USING (indicador) LEFT JOIN t USING (indicador, sinal_posicionamento)
+        WHERE top5 IS NOT NULL OR market IS NOT NULL""", "expectations", "comparison"),
+    "divergence_by_owned_year": with_tables(f"""
+        m AS (SELECT indicador, {mean('mediana')} AS median_market FROM news_expectations GROUP BY ALL),
+        years AS (SELECT DISTINCT ano_referencia FROM news_comparison),
+        t AS (SELECT indicador, ano_referencia, {mean('mediana_top5')} AS median_top5 FROM news_comparison GROUP BY ALL),
+        groups AS (SELECT indicador, ano_referencia FROM m CROSS JOIN years UNION SELECT indicador, ano_referencia FROM t)
+        SELECT indicador, ano_referencia, median_market, median_top5,
+               coalesce(median_top5, 0) - coalesce(median_market, 0) AS divergence
+        FROM groups LEFT JOIN m USING (indicador) LEFT JOIN t USING (indicador, ano_referencia)
+        WHERE median_top5 IS NOT NULL OR median_market IS NOT NULL""", "news_expectations", "news_comparison"),
     "single_values": with_tables("""
         SELECT indicador, data, ano_referencia,
                CASE WHEN count(DISTINCT mediana) = 1 AND count(mediana) = count(*)
@@ -735,5 +787,5 @@ ORACLES: dict[str, str] = {
 }
 
 for _name, _columns in MEANS.items():
-    _single = ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in _columns)
-    ORACLES[_name] = f"SELECT * REPLACE ({_single}) FROM ({ORACLES[_name]})"
+    _digits = ", ".join(f"{c} * CAST({DIGITS} AS DOUBLE) - ({c} * CAST({DIGITS} AS DOUBLE) - {c}) AS {c}" for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_digits}) FROM ({ORACLES[_name]})"

@@ -23,7 +23,7 @@ from sondaflow.session import scratch_path
 from sondaflow.sources import landing, paged
 from sondaflow.sources.tables import TableSink
 from workload import marts, proxies
-from workload.means import MEANS
+from workload.means import DIGITS, MEANS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -388,6 +388,45 @@ def medians_by_unit(spark, folder):
     return measure("median_market", star, by).join(measure("divergence", star, by), by)
 
 
+@query
+def measure_set_by_quarter(spark, folder):
+    """Measures of every kind over three facts beside each other: one scan of each fact for all of them."""
+    star = marts.lines(spark, folder, "expectations", "comparison", "real_rate")
+    return measures(["median_market", "median_top5", "divergence", "spread", "divergence_colour", "real_rate_history",
+                     "policy_rate", "top5_last_date", "last_survey_date", "kpi_real_rate"], star, ["ano", "trimestre"])
+
+
+@query
+def calendar_free_by_month(spark, folder):
+    """Cards drop the calendar, so every month of the context shows their value; the newest date of a month
+    is the one it has, and days of it all show that."""
+    star = marts.news(spark, folder, "expectations", "comparison")
+    return measures(["kpi_ipca", "kpi_divergence_ipca", "last_survey_date", "median_market"], star, ["ano_mes"],
+                    Context(calendar=F.col("ano") == 2024), Cards(2025))
+
+
+@query
+def newest_dates_by_day(spark, folder):
+    """Grouped by the date that the measure drops, each day shows the last one of its month."""
+    star = marts.news(spark, folder, "expectations")
+    context = Context(days=(None, date(2024, 2, 10)), calendar=F.col("ano") == 2024)
+    return measure("last_survey_date", star, ["indicador", "ano_mes", "data"], context)
+
+
+@query
+def divergence_by_signal(spark, folder):
+    """The signal is a column of the comparison: the market's median is the same for all signals."""
+    star = marts.lines(spark, folder, "expectations", "comparison")
+    return measure("divergence", star, ["indicador", "sinal_posicionamento"])
+
+
+@query
+def divergence_by_owned_year(spark, folder):
+    """Both facts have a year; the comparison's does not filter the market."""
+    star = marts.news(spark, folder, "expectations", "comparison")
+    return measures(["median_market", "median_top5", "divergence"], star, ["indicador", "comparison.ano_referencia"])
+
+
 @query
 def precise_means(spark, folder):
     """Averages of values with many digits and of very large ones."""
@@ -795,10 +834,10 @@ def refreshed_tests(spark, folder):
     return checks.run_tests(_refreshed(spark, folder), list(catalog.DATA_TESTS))
 
 
-def _single(plan: Query, columns: tuple[str, ...]) -> Query:
+def _nine_digits(plan: Query, columns: tuple[str, ...]) -> Query:
     return lambda spark, folder: plan(spark, folder).withColumns(
-        {c: F.col(c).cast("float").cast("double") for c in columns})
+        {c: F.col(c) * float(DIGITS) - (F.col(c) * float(DIGITS) - F.col(c)) for c in columns})
 
 
 for _name, _columns in MEANS.items():
-    QUERIES[_name] = _single(QUERIES[_name], _columns)
+    QUERIES[_name] = _nine_digits(QUERIES[_name], _columns)
