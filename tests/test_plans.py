@@ -69,6 +69,11 @@ def test_a_set_of_measures_scans_each_fact_once(spark):
     assert len(re.findall(r"FileScan parquet \[[^\]]*mediana[^\]]*\].*(expectations|comparison)-", quarter)) == 2
 
 
+def test_data_tests_scan_each_table_once(spark):
+    plan = plan_of(spark, "data_tests")
+    assert plan.count("FileScan parquet") == 4  # three facts, the indicators
+
+
 def test_building_a_query_over_built_marts_starts_no_job(spark):
     names = set(QUERIES) - WRITING
     for name in names:
