@@ -104,10 +104,32 @@ WITH base AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS
 fixed AS ({_found(0, _ASSIGN, 1, "length(v) >= 6")} UNION ALL {_found(1, secrets.ACCESS, 0, "length(m) >= 20")}
   UNION ALL {_found(2, secrets.HEX, 0, "true")}),
 candidates AS ({_found(3, secrets.CANDIDATE, 0, "true")}),
+places AS (
+  SELECT row, place, sum(cover) AS cover, sum(inside) AS inside FROM (
+    SELECT row, "start" AS place, 1 AS cover, 0 AS inside FROM fixed UNION ALL SELECT row, "end", -1, 0 FROM fixed
+    UNION ALL SELECT row, "start", 0, 1 FROM candidates UNION ALL SELECT row, "end", 0, -1 FROM candidates)
+  GROUP BY row, place),
+states AS (
+  SELECT row, place, lead(place) OVER w AS until, sum(cover) OVER w AS cover, sum(inside) OVER w AS inside
+  FROM places WINDOW w AS (PARTITION BY row ORDER BY place)),
+rests AS (
+  SELECT row, 3 AS kind, place AS "start", until AS "end", substr(t, place + 1, until - place) AS value
+  FROM states JOIN base USING (row) WHERE cover = 0 AND inside = 1 AND until - place >= {secrets.WINDOW}),
+named AS (
+  SELECT *, string_split_regex(value, '{secrets.SEPARATORS}') AS parts,
+         regexp_replace(lower(value), '[^a-z]', '', 'g') AS letters, regexp_extract_all(value, '{secrets.WORDS}') AS words
+  FROM rests),
 random AS (
-  SELECT * FROM candidates c WHERE NOT ({" OR ".join(f"regexp_matches(value, {_quoted(p)})" for p in secrets.ALLOWED)})
-    AND NOT EXISTS (SELECT 1 FROM fixed f WHERE f.row = c.row AND f."start" < c."end" AND c."start" < f."end")
-    AND list_max(list_transform(range(1, len(value) - {secrets.WINDOW} + 2),
+  SELECT row, kind, "start", "end", value FROM named
+  WHERE NOT ({" OR ".join(f"regexp_matches(value, {_quoted(p)})" for p in secrets.ALLOWED)})
+    AND NOT (len(list_filter(parts, lambda p: NOT regexp_matches(p, '{secrets.PART}')
+                                          AND NOT regexp_matches(p, '{secrets.NUMBER}'))) = 0
+      AND (length(letters) - length(translate(letters, '{secrets.VOWELS}', ''))) * 100
+          >= {secrets.VOWEL_PERCENT} * length(letters)
+      AND (length(letters) - length(translate(letters, '{secrets.RARE}', ''))) * 100
+          <= {secrets.RARE_PERCENT} * length(letters)
+      AND NOT regexp_matches(letters, '{secrets.CONSONANTS}') AND length(letters) >= {secrets.WORD_LETTERS} * len(words))
+    AND list_max(list_transform(range(1, length(value) - {secrets.WINDOW} + 2),
           lambda i: list_entropy(string_split(substr(value, i, {secrets.WINDOW}), '')))) >= {_LIMIT}),
 spans AS (
   SELECT row, kind, "start", {_NAMES}[kind + 1] || ':' || "start" || ':' || "end" AS s FROM (

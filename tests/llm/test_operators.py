@@ -344,6 +344,43 @@ def test_random_strings_are_no_paths_and_no_words(spark):
     assert not any(found[k] for k in range(n + len(keys), len(texts)))
 
 
+NAMES = """getElementsByClassNameAndTagName ThisIsAVeryLongCamelCaseIdentifier123 article-12345-how-to-make-bread
+wp-content/uploads/2019/05/IMG_20190512_143022 ConfigurableApplicationContextFactory max_number_of_retries_before_failure
+src/main/java/com/company/project/service /home/user/projects/website/index_old ABSTRACT_BASE_CLASS_FOR_EVERYTHING
+docs/en/reference/data-dictionary 2019-05-12-14-30-22-000123 --------------------------------""".split()
+
+
+def test_names_of_code_and_paths_are_no_secrets(spark):
+    found = secrets.with_spans(frame(spark, list(enumerate(NAMES)))).filter("size(spans) > 0").collect()
+    assert not [r.text for r in found]
+
+
+def test_most_random_keys_are_found(spark):
+    rng = random.Random(16)
+    base62 = secrets.ALPHABET[:62]
+    kinds = {(secrets.ALPHABET[:64], 40): 0.99, (base62, 20): 0.97, (base62, 32): 0.99, (base62 + "-_", 43): 0.99,
+             ("abcdefghijklmnopqrstuvwxyz", 24): 0.95, ("abcdefghijklmnopqrstuvwxyz0123456789", 32): 0.97,
+             ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 24): 0.94}
+    texts = [(300 * k + i, "".join(rng.choice(letters) for _ in range(n)))
+             for k, (letters, n) in enumerate(kinds) for i in range(300)]
+    hits = Counter(r.doc_id // 300 for r in secrets.with_spans(frame(spark, texts)).filter("size(spans) > 0").collect())
+    for k, least in enumerate(kinds.values()):
+        assert hits[k] >= least * 300
+
+
+def test_long_candidates_and_many_matches(spark):
+    rng = random.Random(17)
+    hexes = " é ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(3000))
+    texts = ["see " + "/ab" * 70_000, "ab-" * 70_000, hexes, "q7X" * 70_000 + "+" + "deadbeef01" * 500]
+    rows = secrets.with_spans(frame(spark, list(enumerate(texts)), False)).select(
+        "doc_id", "spans", secrets.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    found = {r.doc_id: r for r in rows}
+    assert found[0].spans == found[1].spans == [] and found[1].t == texts[1]
+    assert [(s.start, s.end) for s in found[2].spans] == [(35 * k, 35 * k + 32) for k in range(3000)]
+    assert found[2].t == " é ".join(["[SECRET]"] * 3000)
+    assert [(s.start, s.end, s.kind) for s in found[3].spans][-1] == (210_001, 215_001, 2)
+
+
 def test_what_is_left_of_a_candidate_is_judged(spark):
     key, secret = "AKIA" + "Q7" * 8, "wJa1rXUtnFEMI4K7MDENGbPxRfiCYEzq8LpT0vHs"
     texts = [f"{key}/{secret}", f"é {secret}/{key}/{secret} x", f"{key}/short"]
