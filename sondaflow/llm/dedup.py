@@ -13,7 +13,9 @@ shingle sets reaches ``percent``:
    are most common, which is the original among edited copies. After that, pairs of a
    list whose ends are still in different components are tried. No pair inside a component
    is made, and none that shingles found in one document only rule out: what is unique
-   in a text bounds the similarity that it can have with any other.
+   in a text bounds the similarity that it can have with any other. Long lists are compared
+   in tiles of their nodes: matrix products count the values that sketches share in the
+   union's, and only pairs that these do not rule out become rows.
 4. The sketch of the union (its ``keep`` smallest hashes) estimates the similarity
    of a pair; pairs far below the limit go.
 5. The whole sets of the remaining pairs, made again from the texts, decide.
@@ -39,6 +41,11 @@ from sondaflow.llm.words import mix, shingle_hashes, word_hashes
 HUB_ROUNDS = 2
 MISS = 1e-12
 KEEP = 96
+# Nodes of a list whose pairs are rows of a join; longer lists are compared in tiles of so many by as many nodes,
+# along so many ranges of values.
+PAIRED = 32
+TILE = 1024
+RANGES = 48
 
 
 def _shared_at_least(union: int, keep: int, percent: int) -> int:
@@ -156,7 +163,7 @@ def _may_reach(percent: int, n: str, common: str, other_n: str, other_common: st
     return F.expr(f"100 * {both} >= {percent} * ({n} + {other_n} - {both})")
 
 
-def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int) -> DataFrame:
+def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int, keep: int) -> DataFrame:
     """Every pair of a list that is not in one component and that may be similar."""
     mixed = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
     lists = written(lists.join(mixed.select("value"), "value"), "lists")
@@ -172,15 +179,86 @@ def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int) ->
     bounds = lists.groupBy("value").agg(F.min("n").alias("least_n"), F.max("common").alias("most_common"))
     lists = written(lists.join(bounds, "value").filter(
         _may_reach(percent, "n", "common", "least_n", "most_common")).drop("least_n", "most_common"), "lists")
-    roots = lists.groupBy("value", F.col("root").alias("other_root")).agg(
+    lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
+    lists = written(lists.join(lengths, "value"), "lists")
+    short = lists.filter(F.col("length") <= PAIRED)
+    roots = short.groupBy("value", F.col("root").alias("other_root")).agg(
         F.min("n").alias("least_n"), F.max("common").alias("most_common"))
-    near = lists.join(roots, (lists["value"] == roots["value"]) & (F.col("root") < F.col("other_root"))
+    near = short.join(roots, (short["value"] == roots["value"]) & (F.col("root") < F.col("other_root"))
                       & _may_reach(percent, "n", "common", "least_n", "most_common")).drop(roots["value"])
-    others = lists.select(F.col("value").alias("in_value"), F.col("root").alias("in_root"), F.col("node").alias("other"),
+    others = short.select(F.col("value").alias("in_value"), F.col("root").alias("in_root"), F.col("node").alias("other"),
                           F.col("n").alias("other_n"), F.col("common").alias("other_common"))
-    return (near.join(others, (F.col("value") == F.col("in_value")) & (F.col("other_root") == F.col("in_root"))
-                      & _may_reach(percent, "n", "common", "other_n", "other_common"))
-            .select("node", "root", "other", "other_root").distinct())
+    pairs = near.join(others, (F.col("value") == F.col("in_value")) & (F.col("other_root") == F.col("in_root"))
+                      & _may_reach(percent, "n", "common", "other_n", "other_common")).select(
+        "node", "root", "other", "other_root")
+    long = lists.filter(F.col("length") > PAIRED).join(ends.select("node", "need", "sketch"), "node")
+    return pairs.unionByName(_tiled_pairs(long, keep, percent)).distinct()
+
+
+def _shared_at_most(left: list[np.ndarray], right: list[np.ndarray], keep: int) -> np.ndarray:
+    """For every pair of sketches at most how many of the union's smallest values are in both.
+
+    Values go by ranges, smallest first: while a union has room, all that a range shares counts, and in
+    the range that fills it no more than there is room for.
+    """
+    def cut(sketches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(sketches)), [len(x) for x in sketches]), np.concatenate(sketches)
+
+    (row_a, a), (row_b, b) = cut(left), cut(right)
+    values, places = np.unique(np.concatenate((a, b)), return_inverse=True)
+    at_a, at_b = places[:len(a)], places[len(a):]
+    bounds = np.unique(np.linspace(0, len(values), RANGES + 1).astype(np.int64))
+    shared, union = (np.zeros((len(left), len(right)), np.float32) for _ in range(2))
+    for first, last in zip(bounds[:-1], bounds[1:]):
+        parts = []
+        for row, at, count in ((row_a, at_a, len(left)), (row_b, at_b, len(right))):
+            inside = (at >= first) & (at < last)
+            part = np.zeros((count, last - first), np.float32)
+            part[row[inside], at[inside] - first] = 1
+            parts.append(part)
+        both = parts[0] @ parts[1].T
+        room = keep - union
+        shared += np.clip(np.minimum(both, room), 0, None)
+        union += parts[0].sum(axis=1)[:, None] + parts[1].sum(axis=1) - both
+    return shared
+
+
+def _tiled(keep: int, percent: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        sides = np.asarray(rows.column("side"))
+        parts = [rows.filter(pa.array((sides & side) > 0)).combine_chunks() for side in (1, 2)]
+        columns = [{c: np.asarray(p.column(c)) for c in ("node", "root", "n", "common", "need")} for p in parts]
+        sketches = [[np.asarray(x.values) for x in p.column("sketch")] for p in parts]
+        found = []
+        if all(sketches):
+            a, b = columns
+            shared = _shared_at_most(*sketches, keep)
+            most = np.minimum(a["common"][:, None], b["common"])
+            sizes = a["n"][:, None] + b["n"]
+            fits = ((shared >= np.maximum(a["need"][:, None], b["need"])) & (a["root"][:, None] != b["root"])
+                    & (100 * most >= percent * (sizes - most))
+                    & (100 * np.minimum(a["n"][:, None], b["n"]) >= percent * np.maximum(a["n"][:, None], b["n"])))
+            if key[1].as_py() == key[2].as_py():
+                fits &= a["node"][:, None] < b["node"]
+            i, j = np.nonzero(fits)
+            found = [a["node"][i], a["root"][i], b["node"][j], b["root"][j]]
+        return pa.table(found or [np.zeros(0, np.int64)] * 4, ["node", "root", "other", "other_root"])
+    return run
+
+
+def _tiled_pairs(lists: DataFrame, keep: int, percent: int) -> DataFrame:
+    """Pairs of long lists. A list's nodes are dealt to blocks; a tile is a pair of blocks, so a task holds
+    two blocks of nodes, and every pair of nodes is in one tile of the list."""
+    blocks = F.ceil(F.col("length") / TILE).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    with_ = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = lists.withColumn("block", block).withColumn("with", with_).select(
+        "value", F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"),
+        # Side 1 are the rows of the tile, side 2 its columns; a block with itself is both.
+        F.when(F.col("block") == F.col("with"), 3).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"),
+        "node", "root", "n", "common", "need", "sketch")
+    return dealt.groupBy("value", "a", "b").applyInArrow(
+        _tiled(keep, percent), "node long, root long, other long, other_root long")
 
 
 def _with_ends(pairs: DataFrame, ends: DataFrame, *columns: str) -> DataFrame:
@@ -276,7 +354,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     at = lists.select("value", "node").join(roots.select("node", "root"), "node")
     # Sketches first: these pairs may be many.
     likely = _similar_by_sketch(
-        _with_ends(_cross_pairs(at, ends, words, percent), ends, "n", "need", "sketch"), keep, percent)
+        _with_ends(_cross_pairs(at, ends, words, percent, keep), ends, "n", "need", "sketch"), keep, percent)
     found = linked(_with_ends(likely.select("node", "root", "other", "other_root", F.lit(0).alias("rank")), ends, "text"))
     tops = components(found.select(F.col("root").alias("u"), F.col("other_root").alias("v"))).toDF("root", "up")
     roots = roots.join(tops, "root", "left").select("node", F.coalesce("up", "root").alias("root"))

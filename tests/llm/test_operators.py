@@ -69,7 +69,10 @@ def edited(rng, base, share):
     return " ".join(w if rng.random() > share else f"new{rng.random()}" for w in base)
 
 
-def test_groups_of_near_copies_and_a_common_passage(spark):
+@pytest.mark.parametrize("paired, tile", [(32, 1024), (2, 7)])
+def test_groups_of_near_copies_and_a_common_passage(spark, monkeypatch, paired, tile):
+    monkeypatch.setattr(dedup, "PAIRED", paired)
+    monkeypatch.setattr(dedup, "TILE", tile)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     passage, base = [word() for _ in range(90)], [word() for _ in range(200)]
