@@ -45,7 +45,7 @@ KEEP = 96
 # along so many ranges of values.
 PAIRED = 32
 TILE = 1024
-RANGES = 48
+RANGES = 64
 
 
 def _shared_at_least(union: int, keep: int, percent: int) -> int:
@@ -191,7 +191,9 @@ def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int, ke
     pairs = near.join(others, (F.col("value") == F.col("in_value")) & (F.col("other_root") == F.col("in_root"))
                       & _may_reach(percent, "n", "common", "other_n", "other_common")).select(
         "node", "root", "other", "other_root")
-    long = lists.filter(F.col("length") > PAIRED).join(ends.select("node", "need", "sketch"), "node")
+    long = lists.filter(F.col("length") > PAIRED)
+    meets = long.groupBy("node").agg(F.collect_list("value").alias("meets"))  # no more than a sketch has values
+    long = long.join(meets, "node").join(ends.select("node", "need", "sketch"), "node")
     return pairs.unionByName(_tiled_pairs(long, keep, percent)).distinct()
 
 
@@ -223,6 +225,22 @@ def _shared_at_most(left: list[np.ndarray], right: list[np.ndarray], keep: int)
     return shared
 
 
+def _met_before(value: int, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray | bool:
+    """Which pairs meet in a list of a smaller value, too."""
+    left, right = ([x[x < value] for x in side] for side in (left, right))
+    values, places = np.unique(np.concatenate((*left, *right)), return_inverse=True)
+    if not len(values):
+        return False
+    parts, first = [], 0
+    for side in (left, right):
+        sizes = [len(x) for x in side]
+        part = np.zeros((len(side), len(values)), np.float32)
+        part[np.repeat(np.arange(len(side)), sizes), places[first:first + sum(sizes)]] = 1
+        parts.append(part)
+        first += sum(sizes)
+    return parts[0] @ parts[1].T > 0
+
+
 def _tiled(keep: int, percent: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         sides = np.asarray(rows.column("side"))
@@ -240,6 +258,8 @@ def _tiled(keep: int, percent: int):
                     & (100 * np.minimum(a["n"][:, None], b["n"]) >= percent * np.maximum(a["n"][:, None], b["n"])))
             if key[1].as_py() == key[2].as_py():
                 fits &= a["node"][:, None] < b["node"]
+            # A pair is made in the first of its lists alone.
+            fits &= ~np.asarray(_met_before(key[0].as_py(), *([np.asarray(x.values) for x in p.column("meets")] for p in parts)))
             i, j = np.nonzero(fits)
             found = [a["node"][i], a["root"][i], b["node"][j], b["root"][j]]
         return pa.table(found or [np.zeros(0, np.int64)] * 4, ["node", "root", "other", "other_root"])
@@ -256,7 +276,7 @@ def _tiled_pairs(lists: DataFrame, keep: int, percent: int) -> DataFrame:
         "value", F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"),
         # Side 1 are the rows of the tile, side 2 its columns; a block with itself is both.
         F.when(F.col("block") == F.col("with"), 3).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"),
-        "node", "root", "n", "common", "need", "sketch")
+        "node", "root", "n", "common", "need", "sketch", "meets")
     return dealt.groupBy("value", "a", "b").applyInArrow(
         _tiled(keep, percent), "node long, root long, other long, other_root long")
 
