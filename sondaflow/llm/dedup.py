@@ -225,6 +225,14 @@ def _shared_at_most(left: list[np.ndarray], right: list[np.ndarray], keep: int)
     return shared
 
 
+def _shared_in_union(left: np.ndarray, right: np.ndarray, keep: int) -> int:
+    """How many of the union's smallest values are in both sketches, which are sorted."""
+    both = np.sort(np.concatenate((left, right)))
+    twice = both[1:] == both[:-1]
+    # The place of a value in the union, from its last copy.
+    return int(np.count_nonzero(twice & (np.arange(1, len(both)) - np.cumsum(twice) < keep)))
+
+
 def _met_before(value: int, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray | bool:
     """Which pairs meet in a list of a smaller value, too."""
     left, right = ([x[x < value] for x in side] for side in (left, right))
@@ -261,6 +269,10 @@ def _tiled(keep: int, percent: int):
             # A pair is made in the first of its lists alone.
             fits &= ~np.asarray(_met_before(key[0].as_py(), *([np.asarray(x.values) for x in p.column("meets")] for p in parts)))
             i, j = np.nonzero(fits)
+            # The ranges let a few too many through; the union's sketch itself decides.
+            needed = np.maximum(a["need"][i], b["need"][j])
+            likely = np.array([_shared_in_union(sketches[0][x], sketches[1][y], keep) for x, y in zip(i, j)], np.int64)
+            i, j = i[likely >= needed], j[likely >= needed]
             found = [a["node"][i], a["root"][i], b["node"][j], b["root"][j]]
         return pa.table(found or [np.zeros(0, np.int64)] * 4, ["node", "root", "other", "other_root"])
     return run

@@ -211,13 +211,17 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Rows (u, v): a forest over the links between the distinct fingerprints of ``prints``."""
     spark, keys = prints.sparkSession, ["mask", "key"]
-    rows, agreed, found = prints.select("print", F.lit(0).cast("long").alias("mask")), [0], None
+    rows, agreed, found = prints, [0], None
     while True:
         steps = divisions(agreed)
-        # At most 3 rows for each of the masks, which are 3 more with every division, of which there are few.
-        table = F.broadcast(spark.createDataFrame([(_signed(m), _signed(n)) for m, n in steps], "mask long, next long"))
-        rows = rows.join(table, "mask").select(
-            "print", F.col("next").alias("mask"), F.col("print").bitwiseAND(F.col("next")).alias("key"))
+        if found is None:
+            rows = rows.withColumn("next", F.explode(F.array(*[F.lit(_signed(n)) for _, n in steps])))
+        else:
+            # At most 3 rows for each of the masks, which are 3 more with every division, of which there are few.
+            table = spark.createDataFrame([(_signed(m), _signed(n)) for m, n in steps], "mask long, next long")
+            rows = rows.join(F.broadcast(table), "mask")
+        rows = rows.select("print", F.col("next").cast("long").alias("mask"),
+                           F.col("print").bitwiseAND(F.col("next")).alias("key"))
         large = None
         if 1 << max(BITS - n.bit_count() for _, n in steps) > bucket:
             large = written(rows.groupBy(keys).agg(F.count(F.lit(1)).alias("n"))
