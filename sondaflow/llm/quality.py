@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\u000b\u000c\r"
 SYMBOLS = "#*$%&|<>"
-# Phrases of page furniture.
-BOILERPLATE = (r"(?i)(cookie (policy|settings)|privacy policy|terms (of (use|service)|and conditions)|"
+# Phrases of page furniture, as whole words.
+BOILERPLATE = (r"(?i)(^|[^\p{L}])(cookie (policy|settings)|privacy policy|terms (of (use|service)|and conditions)|"
                r"enable javascript|click here|read more|sign (in|up)|log ?in|subscribe (now|to)|"
-               r"skip to (main )?content|share (this|on)|lorem ipsum)")
+               r"skip to (main )?content|share (this|on)|lorem ipsum)([^\p{L}]|$)")
 
 
 @dataclass(frozen=True)

@@ -118,9 +118,9 @@ def partial_matching(train: list[bytes], order: int) -> "callable":
     return score
 
 
-PHRASES = re.compile(r"(?i)(cookie (policy|settings)|privacy policy|terms (of (use|service)|and conditions)|"
+PHRASES = re.compile(r"(?i)(?<![^\W\d_])(?:cookie (policy|settings)|privacy policy|terms (of (use|service)|and conditions)|"
                      r"enable javascript|click here|read more|sign (in|up)|log ?in|subscribe (now|to)|"
-                     r"skip to (main )?content|share (this|on)|lorem ipsum)")
+                     r"skip to (main )?content|share (this|on)|lorem ipsum)(?![^\W\d_])")
 
 
 def clean(text: str | None) -> tuple[str, bool]:

@@ -150,6 +150,15 @@ def test_lines_are_dropped_and_documents_that_lose_too_much(spark):
     assert not found[10].kept and not found[10].base_failed and found[11].kept
 
 
+def test_phrases_inside_words_are_no_page_furniture(spark):
+    kept = ["We keep a catalog in the house and a design in blue here today",
+            "Das Design in der Stadt war schon lange vor dem Umbau der Halle bekannt"]
+    gone = ["Please log in, or you will not see any of the other pages that we have here", "SIGN UP now and see all of the "
+            "many pages that we have kept for you here"]
+    found = {r.doc_id: r.kept for r in quality.judged(frame(spark, list(enumerate(kept + gone))).drop("kept", "n_words")).collect()}
+    assert [found[k] for k in range(4)] == [True, True, False, False]
+
+
 def test_quality_of_odd_rows(odd, none):
     found = {(r.doc_id, r.n_words) for r in quality.judged(odd.drop("n_words", "kept")).collect()}
     assert {(1, 0), (2, 0), (3, 0), (4, 1), (None, 1), (None, 60_000), (7, 60_001)} <= found
