@@ -50,12 +50,16 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word and for each text the number of words before it."""
     starts, ends, firsts = word_bounds(data, offsets)
+    return hashes_between(lowered(data), starts, ends), firsts
+
+
+def hashes_between(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes from each start to its end."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((lowered(data).astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[:len(data)],
-              out=sums[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[:len(data)], out=sums[1:])
     back = powers(pow(BASE, -1, 1 << 64), len(data))
     raw = (sums[ends] - sums[starts]) * back[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(STEP)), firsts
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(STEP))
 
 
 def shingle_hashes(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -225,6 +225,55 @@ def test_the_level_with_the_smallest_sum_of_squares():
         assert state.open == state.counts.sum() == sum(map(len, state.levels.values()))
 
 
+def test_open_windows_are_divided_by_the_rule():
+    state, rng = packing.SumOfSquares(50, 6), random.Random(4)
+    placed, full = Counter(), []
+    for doc in range(300):
+        length = rng.randrange(1, 50)
+        placed[doc] = length
+        whole = state.place((doc, 0, np.arange(length)))
+        full += [whole] if whole else []
+        full += state.drain(False)
+        assert state.open <= 6 and state.open == state.counts.sum() == sum(map(len, state.levels.values()))
+    counts = state.counts.copy()
+    by_level = [counts + np.eye(51, dtype=int)[h + 1] * (h < 49) - np.eye(51, dtype=int)[h] for h in range(1, 50) if counts[h]]
+    full += state.divide((300, 0, np.arange(1)))
+    placed[300] = 1
+    assert int((state.counts ** 2).sum()) == min(int((n ** 2).sum()) for n in by_level)
+    full += state.drain(True)
+    assert state.open == 0 and all(sum(len(p[2]) for p in w) == 50 for w in full[:-1])
+    tokens_of = defaultdict(list)
+    for doc, start, ids in (p for w in full for p in w):
+        assert ids[0] == start
+        tokens_of[doc] += ids.tolist()
+    assert {d: sorted(t) for d, t in tokens_of.items()} == {d: list(range(n)) for d, n in placed.items()}
+
+
+def test_words_of_equal_places_and_hashes_in_the_table():
+    table = packing.WordTable(64)
+    rng = random.Random(8)
+    low = [rng.randrange(1 << 20) for _ in range(40)]   # all for the table's first places
+    hashes = np.array(sorted(set(low + [0, (1 << 64) - 1, (1 << 64) - 2])), np.uint64)
+    codes = [np.arange(k % 4, dtype="<u4").tobytes() for k in range(len(hashes))]
+    numbers = table.add(codes)
+    assert (table.find(hashes) == -1).all()
+    table.name(hashes, numbers)
+    assert (table.find(hashes) == numbers).all()
+    assert (table.find(hashes + np.uint64(1 << 30)) == -1).all()
+    ids, before = table.joined(numbers)
+    assert [ids[a:b].tolist() for a, b in zip(before, before[1:])] == [list(range(k % 4)) for k in range(len(hashes))]
+
+
+def test_long_texts_and_words_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(packing.Encoder, "BLOCK", 300)
+    texts = ["The end of it, then. " * 200, "word" * 400 + " a " + "é" * 700, " " * 1000, "", "short one", "b\n" * 500 + "x" * 299,
+             "pad " * 100 + "y" * 1000]
+    with open(queries.tokenizer_path()) as file:
+        encode = packing.Encoder(file.read(), 100)
+    for _ in range(2):
+        assert [x.tolist() for x in encode(texts, 2)] == tokens(texts)
+
+
 def test_packing_of_odd_rows(odd, none):
     pieces = packing.packed(odd, queries.tokenizer_path()).collect()
     assert sum(p.length for p in pieces) == sum(map(len, tokens([r[1] for r in ODD])))
