@@ -14,8 +14,8 @@ shingle sets reaches ``percent``:
    list whose ends are still in different components are tried. No pair inside a component
    is made, and none that shingles found in one document only rule out: what is unique
    in a text bounds the similarity that it can have with any other. Long lists are compared
-   in tiles of their nodes: matrix products count the values that sketches share in the
-   union's, and only pairs that these do not rule out become rows.
+   in tiles of their nodes, whose pairs never become rows: matrix products count the values
+   that sketches share in the union's, whole sets decide, and a tile gives a forest of links.
 4. The sketch of the union (its ``keep`` smallest hashes) estimates the similarity
    of a pair; pairs far below the limit go.
 5. The whole sets of the remaining pairs, made again from the texts, decide.
@@ -42,9 +42,10 @@ HUB_ROUNDS = 2
 MISS = 1e-12
 KEEP = 96
 # Nodes of a list whose pairs are rows of a join; longer lists are compared in tiles of so many by as many nodes,
-# along so many ranges of values.
+# fewer if their sets hold more than so many shingles on average, along so many ranges of values.
 PAIRED = 32
 TILE = 1024
+TILE_SHINGLES = 512
 RANGES = 64
 
 
@@ -163,8 +164,10 @@ def _may_reach(percent: int, n: str, common: str, other_n: str, other_common: st
     return F.expr(f"100 * {both} >= {percent} * ({n} + {other_n} - {both})")
 
 
-def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int, keep: int) -> DataFrame:
-    """Every pair of a list that is not in one component and that may be similar."""
+def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int,
+                 keep: int) -> tuple[DataFrame, DataFrame]:
+    """Every pair of a short list that is not in one component and that may be similar, and links
+    (root, other_root) that join whatever similar pairs of long lists join."""
     mixed = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
     lists = written(lists.join(mixed.select("value"), "value"), "lists")
     # Shingles of these nodes that only one of them has.
@@ -179,7 +182,7 @@ def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int, ke
     bounds = lists.groupBy("value").agg(F.min("n").alias("least_n"), F.max("common").alias("most_common"))
     lists = written(lists.join(bounds, "value").filter(
         _may_reach(percent, "n", "common", "least_n", "most_common")).drop("least_n", "most_common"), "lists")
-    lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
+    lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"), F.sum("n").alias("shingles"))
     lists = written(lists.join(lengths, "value"), "lists")
     short = lists.filter(F.col("length") <= PAIRED)
     roots = short.groupBy("value", F.col("root").alias("other_root")).agg(
@@ -194,7 +197,10 @@ def _cross_pairs(lists: DataFrame, ends: DataFrame, words: int, percent: int, ke
     long = lists.filter(F.col("length") > PAIRED)
     meets = long.groupBy("node").agg(F.collect_list("value").alias("meets"))  # no more than a sketch has values
     long = long.join(meets, "node").join(ends.select("node", "need", "sketch"), "node")
-    return pairs.unionByName(_tiled_pairs(long, keep, percent)).distinct()
+    tiles = written(_tiled_pairs(long, keep, percent), "tiles")
+    links = (tiles.join(ends.select("node", "text"), "node").groupBy("value", "a", "b")
+             .applyInArrow(_forest_of_tile(words, percent), "root long, other_root long").distinct())
+    return pairs.distinct(), links
 
 
 def _shared_at_most(left: list[np.ndarray], right: list[np.ndarray], keep: int) -> np.ndarray:
@@ -249,39 +255,84 @@ def _met_before(value: int, left: list[np.ndarray], right: list[np.ndarray]) ->
     return parts[0] @ parts[1].T > 0
 
 
+TILE_ROWS = pa.schema([("value", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("node", pa.int64()),
+                       ("root", pa.int64()), ("others", pa.list_(pa.int64()))])
+
+
 def _tiled(keep: int, percent: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         sides = np.asarray(rows.column("side"))
         parts = [rows.filter(pa.array((sides & side) > 0)).combine_chunks() for side in (1, 2)]
         columns = [{c: np.asarray(p.column(c)) for c in ("node", "root", "n", "common", "need")} for p in parts]
         sketches = [[np.asarray(x.values) for x in p.column("sketch")] for p in parts]
+        if not all(sketches):
+            return TILE_ROWS.empty_table()
+        a, b = columns
+        shared = _shared_at_most(*sketches, keep)
+        most = np.minimum(a["common"][:, None], b["common"])
+        sizes = a["n"][:, None] + b["n"]
+        fits = ((shared >= np.maximum(a["need"][:, None], b["need"])) & (a["root"][:, None] != b["root"])
+                & (100 * most >= percent * (sizes - most))
+                & (100 * np.minimum(a["n"][:, None], b["n"]) >= percent * np.maximum(a["n"][:, None], b["n"])))
+        if key[1].as_py() == key[2].as_py():
+            fits &= a["node"][:, None] < b["node"]
+        # A pair is looked at in the first of its lists alone.
+        fits &= ~np.asarray(_met_before(key[0].as_py(), *([np.asarray(x.values) for x in p.column("meets")] for p in parts)))
+        i, j = np.nonzero(fits)
+        # The ranges let a few too many through; the union's sketch itself decides.
+        needed = np.maximum(a["need"][i], b["need"][j])
+        likely = np.array([_shared_in_union(sketches[0][x], sketches[1][y], keep) for x, y in zip(i, j)], np.int64)
+        i, j = i[likely >= needed], j[likely >= needed]
+        # One row for each node of a likely pair, with the others that it is compared to.
+        nodes, first = np.unique(np.concatenate((a["node"][i], b["node"][j])), return_index=True)
+        roots = np.concatenate((a["root"][i], b["root"][j]))[first]
+        order = np.argsort(a["node"][i], kind="stable")
+        bounds = np.concatenate((np.searchsorted(a["node"][i][order], nodes), [len(order)]))
+        others = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(b["node"][j][order], pa.int64()))
+        return pa.table([*(pa.array(np.full(len(nodes), k.as_py()), k.type) for k in key), pa.array(nodes), pa.array(roots), others],
+                        schema=TILE_ROWS)
+    return run
+
+
+def _forest_of_tile(words: int, percent: int):
+    """Whole sets decide the likely pairs of a tile; each link joins two components that none before it joined."""
+    def run(rows: pa.Table) -> pa.Table:
+        nodes, roots = (np.asarray(rows.column(c)) for c in ("node", "root"))
+        order = np.argsort(nodes)
+        sets = list(_sets(*text_bytes(rows.column("text")), words))
+        sizes = np.array([len(x) for x in sets])
+        shingles, places = np.unique(np.concatenate(sets), return_inverse=True)
+        parts = np.split(places, np.cumsum(sizes)[:-1])
+        mine = np.zeros(len(shingles), bool)
+        up = {r: r for r in roots.tolist()}
+
+        def top(r: int) -> int:
+            while up[r] != r:
+                up[r] = r = up[up[r]]
+            return r
+
         found = []
-        if all(sketches):
-            a, b = columns
-            shared = _shared_at_most(*sketches, keep)
-            most = np.minimum(a["common"][:, None], b["common"])
-            sizes = a["n"][:, None] + b["n"]
-            fits = ((shared >= np.maximum(a["need"][:, None], b["need"])) & (a["root"][:, None] != b["root"])
-                    & (100 * most >= percent * (sizes - most))
-                    & (100 * np.minimum(a["n"][:, None], b["n"]) >= percent * np.maximum(a["n"][:, None], b["n"])))
-            if key[1].as_py() == key[2].as_py():
-                fits &= a["node"][:, None] < b["node"]
-            # A pair is made in the first of its lists alone.
-            fits &= ~np.asarray(_met_before(key[0].as_py(), *([np.asarray(x.values) for x in p.column("meets")] for p in parts)))
-            i, j = np.nonzero(fits)
-            # The ranges let a few too many through; the union's sketch itself decides.
-            needed = np.maximum(a["need"][i], b["need"][j])
-            likely = np.array([_shared_in_union(sketches[0][x], sketches[1][y], keep) for x, y in zip(i, j)], np.int64)
-            i, j = i[likely >= needed], j[likely >= needed]
-            found = [a["node"][i], a["root"][i], b["node"][j], b["root"][j]]
-        return pa.table(found or [np.zeros(0, np.int64)] * 4, ["node", "root", "other", "other_root"])
+        for row, others in enumerate(rows.column("others")):
+            with_ = order[np.searchsorted(nodes, np.asarray(others.values), sorter=order)] if len(others) else ()
+            if not len(with_):
+                continue
+            mine[parts[row]] = True
+            common = np.add.reduceat(mine[np.concatenate([parts[w] for w in with_])].astype(np.int64),
+                                     np.concatenate(([0], np.cumsum(sizes[with_])[:-1])))
+            mine[parts[row]] = False
+            for w in with_[100 * common >= percent * (sizes[row] + sizes[with_] - common)]:
+                one, other = top(int(roots[row])), top(int(roots[w]))
+                if one != other:
+                    up[max(one, other)] = min(one, other)
+                    found.append((one, other))
+        return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["root", "other_root"])
     return run
 
 
 def _tiled_pairs(lists: DataFrame, keep: int, percent: int) -> DataFrame:
     """Pairs of long lists. A list's nodes are dealt to blocks; a tile is a pair of blocks, so a task holds
-    two blocks of nodes, and every pair of nodes is in one tile of the list."""
-    blocks = F.ceil(F.col("length") / TILE).cast("int")
+    two blocks of nodes, and every pair of nodes is in one tile of the list. Rows: the nodes of likely pairs."""
+    blocks = F.ceil(F.greatest(F.col("length") / TILE, F.col("shingles") / (TILE * TILE_SHINGLES))).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     with_ = F.explode(F.sequence(F.lit(0), blocks - 1))
     dealt = lists.withColumn("block", block).withColumn("with", with_).select(
@@ -290,7 +341,7 @@ def _tiled_pairs(lists: DataFrame, keep: int, percent: int) -> DataFrame:
         F.when(F.col("block") == F.col("with"), 3).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"),
         "node", "root", "n", "common", "need", "sketch", "meets")
     return dealt.groupBy("value", "a", "b").applyInArrow(
-        _tiled(keep, percent), "node long, root long, other long, other_root long")
+        _tiled(keep, percent), "value long, a int, b int, node long, root long, others array<long>")
 
 
 def _with_ends(pairs: DataFrame, ends: DataFrame, *columns: str) -> DataFrame:
@@ -385,10 +436,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
             "node", F.coalesce("up", "root").alias("root"), "common"), "roots")
     at = lists.select("value", "node").join(roots.select("node", "root"), "node")
     # Sketches first: these pairs may be many.
-    likely = _similar_by_sketch(
-        _with_ends(_cross_pairs(at, ends, words, percent, keep), ends, "n", "need", "sketch"), keep, percent)
+    pairs, links = _cross_pairs(at, ends, words, percent, keep)
+    likely = _similar_by_sketch(_with_ends(pairs, ends, "n", "need", "sketch"), keep, percent)
     found = linked(_with_ends(likely.select("node", "root", "other", "other_root", F.lit(0).alias("rank")), ends, "text"))
-    tops = components(found.select(F.col("root").alias("u"), F.col("other_root").alias("v"))).toDF("root", "up")
+    links = found.select("root", "other_root").unionByName(links)
+    tops = components(links.select(F.col("root").alias("u"), F.col("other_root").alias("v"))).toDF("root", "up")
     roots = roots.join(tops, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
 
     named = (nodes.select("name", "node", "first_id").join(roots, "node", "left")
