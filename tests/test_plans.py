@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
 # These write tables and return audit rows or counts.
-WRITING = {"landed_survey", "load_audit", "curation_audit", "refreshed_tables", "refreshed_expectations",
+WRITING = {"landed_survey", "load_audit", "resumed_load", "curation_audit", "refreshed_tables", "refreshed_expectations",
            "refreshed_comparison", "refreshed_rates", "refreshed_tests", "refused_loads", "refused_curation",
            "replaced_and_widened", "paged_events", "windowed_orders", "window_counts"}
 # Global aggregates and the daily rate series, where one partition holds one row per task or per day.

@@ -57,6 +57,35 @@ def test_windows_cover_every_day_once(spark):
         assert (before.last_day - before.first_day).days == 5 * 365
 
 
+def test_audit_of_a_killed_run_and_its_resumption(spark, sink):
+    good = write_records(spark, records(4))
+    specs = [load_spec(f"t{i}", good) for i in range(4)]
+    specs[1] = replace(specs[1], options={"path": "/nowhere/at/all"})
+    asked = []
+
+    def killed(session, spec):
+        raise SystemExit("the driver ends")
+
+    def counted(session, spec):
+        asked.append(spec.target)
+        return landing.read_files(session, spec)
+
+    third = [*specs[:2], replace(specs[2], reader="killed")]
+    with pytest.raises(SystemExit):
+        run.ingest(sink, third, AS_OF, "night", parallel=1, readers={**landing.READERS, "killed": killed})
+    audit = {r.tabela: r.status for r in sink.read(run.LOAD_AUDIT).collect()}
+    assert audit == {"t0": "OK", "t1": "ERRO"} and not sink.exists("t3")
+    specs = [replace(s, reader="counted", options={"path": good}) for s in specs]
+    batch = run.ingest(sink, specs, AS_OF, "night", readers={**landing.READERS, "counted": counted}, resume=True)
+    batch.raise_failures()
+    assert sorted(asked) == ["t1", "t2", "t3"] and [r["tabela"] for r in batch.rows] == ["t0", "t1", "t2", "t3"]
+    audit = sink.read(run.LOAD_AUDIT)
+    assert audit.count() == 5 and run.failed_runs(run.newest_runs(audit)).count() == 0
+    assert run.newest_runs(audit).columns == audit.columns
+    again = run.ingest(sink, specs, AS_OF, "another", readers={**landing.READERS, "counted": counted}, resume=True)
+    assert len(asked) == 7 and not again.failures
+
+
 def test_windowed_extract(spark):
     def fetch(request):
         assert request.series == "432"
@@ -209,6 +238,32 @@ def test_append_widens(spark, sink):
     assert found == {(1, "a", None), (2, "b", 2.5), (3, None, None)}
 
 
+def test_an_append_that_fails_leaves_rows_and_columns(spark, sink, monkeypatch):
+    sink.append(spark.createDataFrame([(1, "a")], "n int, s string"), "log")
+    wide = spark.createDataFrame([(2, "b", 2.5)], "n int, s string, x double")
+    for step in ("_point", "_entered", "stage"):
+        with monkeypatch.context() as patch:
+            def refuse(*_, **__):
+                raise RuntimeError("lost")
+            patch.setattr(TableSink, step, refuse)
+            with pytest.raises(RuntimeError):
+                sink.append(wide, "log")
+        assert sink.read("log").columns == ["n", "s"] and sink.read("log").count() == 1
+    broken = wide.withColumn("x", F.raise_error(F.lit("no row")).cast("double"))
+    with pytest.raises(Exception, match="no row"):
+        sink.append(broken, "log")
+    assert sink.read("log").columns == ["n", "s"] and sink.read("log").count() == 1
+    sink.append(wide, "log")
+    sink.append(spark.createDataFrame([(3, 1)], "n int, y int"), "log")
+    sink.append(spark.createDataFrame([(4,)], "n int"), "log")
+    assert sink.expire("log", timedelta(days=1)) == []
+    sink.expire("log", timedelta(0))
+    assert {tuple(r) for r in sink.read("log").collect()} == {
+        (1, "a", None, None), (2, "b", 2.5, None), (3, None, None, 1), (4, None, None, None)}
+    sink.replace(spark.range(1), "log")
+    assert len(sink.expire("log", timedelta(0))) == 3 and sink.read("log").columns == ["id"]
+
+
 def test_sorted_files(spark, sink):
     rows = spark.range(1000, numPartitions=4).select((F.col("id") * 7919 % 1000).alias("data"))
     staged = sink.staged(sink.stage(rows, "t", sort_by=("data",)))

@@ -757,6 +757,14 @@ ORACLES: dict[str, str] = {
                'GateError: stale data: newest date ' || max(CAST(o_orderdate AS DATE)) || ' is '
                || (DATE '2024-01-31' - max(CAST(o_orderdate AS DATE))) || ' days old'
         FROM orders""",
+    "resumed_load": """
+        SELECT 'bronze_expectativas_anuais' AS tabela, 'OK' AS status, count(*) AS registros, TRUE AS "before"
+        FROM events WHERE event_type IN ('view', 'click', 'error', 'purchase')
+        UNION ALL
+        SELECT 'bronze_top5_anuais', 'OK', count(*), TRUE FROM events
+        WHERE event_type IN ('view', 'click', 'error') AND minute(ts) < 30
+        UNION ALL
+        SELECT 'bronze_inflacao_12m', 'OK', count(*), FALSE FROM lineitem""",
     "curation_audit": with_tables(f"""
         counted AS ({" UNION ALL ".join(
             f"SELECT {k} AS k, '{n}' AS metric, {v} AS violations FROM flawed" for k, (n, v) in enumerate(

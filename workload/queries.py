@@ -653,6 +653,28 @@ def load_audit(spark, folder):
         "tabela", "status", "registros", "colunas", "data_max", "erro")
 
 
+@query
+def resumed_load(spark, folder):
+    """Three loads whose driver is lost in the last one, and the same batch resumed: the last audit row of
+    each table, and whether it was there before the resumption."""
+    raw = {catalog.SURVEY: proxies.news, catalog.TOP5: proxies.news_panel, catalog.INFLATION: proxies.inflation}
+    specs = [replace(_load_spec(t), reader="json", options=options, max_age_days=10_000)
+             for t, options in _landed(spark, folder, raw).items()]
+
+    def lost(session, spec):
+        raise SystemExit("the driver is lost")
+
+    sink = _sink(spark, "resumed")
+    try:
+        run.ingest(sink, [*specs[:2], replace(specs[2], reader="lost")], NEWS_AS_OF, "night", parallel=1,
+                   readers={**landing.READERS, "lost": lost})
+    except SystemExit:
+        before = [r.tabela for r in sink.read(run.LOAD_AUDIT).collect()]
+    run.ingest(sink, specs, NEWS_AS_OF, "night", resume=True).raise_failures()
+    return run.newest_runs(sink.read(run.LOAD_AUDIT)).select(
+        "tabela", "status", "registros", F.col("tabela").isin(before).alias("before"))
+
+
 @query
 def curation_audit(spark, folder):
     """Four curations in one batch; the damaged survey fails, the others are published."""
