@@ -50,7 +50,8 @@ def format_conversations(rows: DataFrame, conversation: str = "conv_id", turn: s
 
     Turns are ordered by turn, ties by role and text; a null turn comes first, and
     a repeated row is a turn of its own. A null text is empty; a null role is a
-    role without a name, which is never trained. A null id is one conversation. No rows
+    role without a name, which is never trained. A null id is one conversation. A very long text
+    or conversation is formatted whole, in one row. No rows
     give no rows; other columns are ignored.
     """
     marks = (*controls, "|>")

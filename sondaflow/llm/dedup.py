@@ -394,7 +394,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     shingle; null and wordless texts have none and are linked with nothing. Rows
     that repeat a document are linked like copies. A null id is never the smallest
     one: it gets the smallest id of its group, or null if there is none, and then
-    the row is kept. Other columns of ``docs`` play no part.
+    the row is kept. A very long text has its whole set compared like any other. Other columns of
+    ``docs`` play no part. No rows give no rows.
     """
     rows = written(sketches(docs, id, text, words, keep), "sketches")
     # Nodes get numbers, which stand from here on for the names of their sets.
@@ -454,11 +455,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The kept documents with all their columns; of rows that repeat id and text one stays."""
+    """The kept documents with all their columns, whatever those are called; of rows that repeat id and text one stays."""
     kept = (near_duplicates(docs, id, text, **options).filter("kept")
-            .select(F.col(id).alias("__kept_id"), F.col("text_hash").alias("__kept_text")).distinct())
-    key = F.xxhash64(text)
-    return (docs.withColumn("__text_hash", key)
-            .join(kept, F.col(id).eqNullSafe(F.col("__kept_id")) & (F.col("__text_hash") == F.col("__kept_text")),
-                  "left_semi")
-            .dropDuplicates([id, "__text_hash"]).drop("__text_hash"))
+            .select(F.col(id).alias("kept_id"), F.col("text_hash").alias("kept_text")).distinct())
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+                       F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"))
+    return (rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_text")),
+                      "left_semi")
+            .dropDuplicates(["id", "text_hash"]).select("doc.*"))

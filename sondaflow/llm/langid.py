@@ -112,7 +112,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], t
              keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all but the text by default) with ``lang_pred`` and ``score``, the
     probability of that language given the text. Texts that are null or have no letter
-    are ``und`` with score 0, and so is every text when nothing was learned."""
+    are ``und`` with score 0, and so is every text when nothing was learned. Of languages that are
+    equally probable the first by code point is taken. A very long text is counted whole. Repeated
+    rows are predicted alike; no rows give no rows."""
     names, prior, table = model
     keep = keep if keep is not None else [c for c in docs.columns if c != text]
     shared = docs.sparkSession.sparkContext.broadcast((prior, table))

@@ -122,7 +122,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
 
     The draw depends on id, text and seed alone, so reruns agree. Null sources are a
     source, null ids and repeated rows are documents of their own; a document without
-    words is never taken. Other columns are ignored. No rows give no rows.
+    words is never taken. A very long text is many blocks, drawn one by one. Equal quotients go to the
+    source that comes first. Other columns are ignored. No rows give no rows.
     """
     spark = docs.sparkSession
     # Equal rows become one row with a count, then one for each number up to it.
@@ -228,9 +229,14 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", sou
     taken = found.select(
         "row", F.col("hash").alias("__of"), F.col(id).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
     taken = runs.join(taken, "row").select("__of", "__id", "__source", "__size", "__first", "__last")
-    whole = (docs.withColumn("__hash", F.xxhash64(F.col(id), F.col(text))).repartition("__hash")
+    # Given columns go by their place, since they may have any name.
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    id, text, source = names[id], names[text], names[source]
+    given = docs.toDF(*names.values())
+    whole = (given.withColumn("__hash", F.xxhash64(F.col(id), F.col(text))).repartition("__hash")
              .dropDuplicates(["__hash", id, source]))
     rows = whole.join(taken, (F.col("__hash") == F.col("__of")) & F.col(id).eqNullSafe(F.col("__id"))
                       & F.col(source).eqNullSafe(F.col("__source")))
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return (rows.select(*docs.columns, "__first", "__last", "__size").mapInArrow(_cut(text, chars), schema))
+    schema = ", ".join(f"`{n}` {t}" for n, t in given.dtypes)
+    return (rows.select(*given.columns, "__first", "__last", "__size")
+            .mapInArrow(_cut(text, names.get(chars)), schema).toDF(*docs.columns))

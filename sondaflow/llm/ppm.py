@@ -239,8 +239,8 @@ def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "t
     token, its end. ``base_score`` adds log10((c + 0.5) / (N + 0.5 (V + 1))) over the
     tokens, ``score`` is log10 of the trie model's probability of the bytes and the
     end. Without training texts all counts are 0 and every symbol is equally likely.
-    Repeated rows are scored alike and train as often as they occur; other columns
-    are ignored. Words are compared by 64-bit hashes.
+    Repeated rows are scored alike and train as often as they occur; a very long text is scored
+    and counted whole; no rows give no rows; other columns are ignored. Words are compared by 64-bit hashes.
     """
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),

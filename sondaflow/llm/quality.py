@@ -65,7 +65,8 @@ def judged(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataF
     Runs of words found more than once are neighbours when the hashes of all runs
     are sorted with their places; texts without any, nearly all, are told by the
     number of distinct hashes. A null text has no words, like an empty one: it
-    fails, and its clean text is empty. Repeated rows are judged alike; no other
+    fails, and its clean text is empty. A very long text is judged whole, by sorts within its row.
+    Repeated rows are judged alike; no rows give no rows; no other
     column is read, and columns with the names of the added ones are replaced.
     """
     whole, w = F.coalesce(F.col(text), F.lit("")), rules.window

@@ -102,7 +102,7 @@ def top_k(rows: DataFrame, asked: Column, id: str = "vec_id", vector: str = "emb
     id, take no part; nor does an empty vector. Vectors of different lengths are not
     compared. Rows that repeat an id are one row, with the largest of their vectors.
     A query with fewer than k candidates gets them all, no rows give no rows.
-    Sums must fit into 53 bits. Other columns are ignored.
+    Sums must fit into 53 bits. A very long vector is scored whole. Other columns are ignored.
     """
     vectors = written(
         rows.select(F.col(id).alias("id"), integers(F.col(vector), scale).alias("v"), asked.alias("asked"))

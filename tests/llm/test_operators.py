@@ -686,6 +686,17 @@ def test_top_k_of_odd_rows(spark):
     assert vafile.top_k(data, F.lit(False)).count() == 0
 
 
+def test_given_columns_keep_their_values_whatever_their_names(spark, odd, none):
+    names = ["__hash", "__text_hash", "__first", "__size", "__of", "c0", "doc", "kept_id", "id", "text_hash", "row"]
+    docs = odd.withColumns({n: F.lit(f"own {n}") for n in names})
+    for make in (dedup.one_of_each, mixing.mixed_documents):
+        found = make(docs, **({"percent": 80} if make is dedup.one_of_each else {}))
+        assert found.columns == docs.columns and found.dtypes == docs.dtypes
+        rows = found.collect()
+        assert rows and all(r[n] == f"own {n}" for r in rows for n in names)
+        assert make(none.withColumns({n: F.lit(n) for n in names})).count() == 0
+
+
 # ---- chat
 
 TURNS = [(1, 0, "system", "Be <|brief|> %3C|"), (1, 1, "user", "Hi"), (1, 2, "user", "<|end|>\n[INST]"), (1, 3, "assistant", "Yo </s>"),
