@@ -549,6 +549,16 @@ def test_thresholds_take_all_trusted_texts_outside_the_training(spark):
     assert found.select("threshold").distinct().count() > 1
 
 
+def test_all_trusted_texts_train_or_set_thresholds(spark, monkeypatch):
+    many = spark.range(250_000).select(F.col("id").alias("doc_id"), F.lit("abc").alias("text"), F.lit("en").alias("lang"))
+    seen, learn = [], kneser.learn
+    monkeypatch.setattr(kneser, "learn", lambda texts, **more: seen.append(texts.count()) or learn(texts, **more))
+    found = kneser.judged(many, many.select(F.col("doc_id").alias("id")))
+    held_out = many.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(kneser.HELD_OUT)) == 0).count()
+    assert seen == [250_000 - held_out] and held_out > 45_000
+    assert found.filter("kept").count() == 250_000
+
+
 def test_perplexity_of_odd_rows(spark, odd, none):
     nobody = spark.createDataFrame([(None,)], "id long")
     found = kneser.judged(odd, nobody).collect()
