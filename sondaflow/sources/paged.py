@@ -1,7 +1,7 @@
 """Paged and date-windowed extracts, read by the executors.
 
 The transport is a function the caller supplies; it gets one request and
-returns that request's records. It runs inside tasks, so no record ever passes
+returns that request's records, those of a window as a list or one after another. It runs inside tasks, so no record ever passes
 through the driver, and a task that is lost simply asks again.
 """
 
@@ -10,9 +10,10 @@ from __future__ import annotations
 import json
 import sys
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from datetime import date
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -25,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PAGE_SIZE = 15_000
 READERS = 4  # at once per source: a public source limits its callers, however large the cluster
 WINDOW_DAYS = 5 * 365 + 1
+RECORDS_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,7 @@ class _Windows(InputPartition):
 
 
 def _batch(records: list[dict]) -> pa.RecordBatch:
-    """One response as one Arrow batch of JSON texts."""
+    """Records as one Arrow batch of JSON texts."""
     texts = [json.dumps(r, ensure_ascii=False) for r in records]
     return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
 
@@ -97,9 +99,9 @@ class _PageReader(DataSourceReader):
 
 
 class _WindowReader(DataSourceReader):
-    """Reader k of n takes windows k, k+n, k+2n, ..."""
+    """Reader k of n takes windows k, k+n, k+2n, ... and holds so many records of one at once."""
 
-    def __init__(self, options: dict, fetch: Callable[[WindowRequest], list[dict]]):
+    def __init__(self, options: dict, fetch: Callable[[WindowRequest], Iterable[dict]]):
         self.series = options.get("series", "")
         self.windows = json.loads(options["windows"])
         self.readers = int(options["readers"])
@@ -110,7 +112,9 @@ class _WindowReader(DataSourceReader):
 
     def read(self, partition: _Windows) -> Iterator[pa.RecordBatch]:
         for first, last in partition.windows:
-            yield _batch(self.fetch(WindowRequest(self.series, date.fromisoformat(first), date.fromisoformat(last))))
+            records = iter(self.fetch(WindowRequest(self.series, date.fromisoformat(first), date.fromisoformat(last))))
+            while some := list(islice(records, RECORDS_AT_ONCE)):
+                yield _batch(some)
 
 
 def _register(spark: SparkSession, reader: type, fetch: Callable) -> str:
@@ -162,7 +166,7 @@ def window_index(day: Column, first: date, days: int = WINDOW_DAYS) -> Column:
     return F.floor(F.datediff(day, F.lit(first)) / days)
 
 
-def read_windows(spark: SparkSession, fetch: Callable[[WindowRequest], list[dict]], *, series: str,
+def read_windows(spark: SparkSession, fetch: Callable[[WindowRequest], Iterable[dict]], *, series: str,
                  first: date, last: date, days: int = WINDOW_DAYS, readers: int = READERS) -> DataFrame:
     """JSON records of a date-windowed source, one per row in ``value``; so many requests at once."""
     plan = [[str(w.first_day), str(w.last_day)]

@@ -1,4 +1,5 @@
 import json
+import os
 import time
 from dataclasses import replace
 from datetime import date, timedelta
@@ -410,3 +411,19 @@ def test_failing_data_test_is_reported(spark, sink):
 
 def test_gate_error_is_a_value_error():
     assert issubclass(gates.GateError, ValueError)
+
+
+def test_a_window_is_read_in_batches_of_bounded_size(monkeypatch):
+    most, taken = [0], [0]
+
+    def fetch(request):
+        for k in range(25_000):
+            taken[0] += 1
+            yield {"k": k}
+
+    reader = paged._WindowReader({"windows": json.dumps([["2024-01-01", "2024-12-31"]]), "readers": "1"}, fetch)
+    sizes = []
+    for batch in reader.read(reader.partitions()[0]):
+        sizes.append(batch.num_rows)
+        most[0] = max(most[0], taken[0] - sum(sizes))
+    assert sum(sizes) == 25_000 and max(sizes) <= paged.RECORDS_AT_ONCE and most[0] == 0
