@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from sondaflow import session
 from sondaflow.session import scale_settings, scratch_path, shared_folder, sized
 
 
@@ -47,3 +48,18 @@ def test_a_session_is_sized_in_place():
     session.sparkContext.defaultParallelism = 8
     assert sized(session, 10 << 30).conf.get("spark.sql.shuffle.partitions") == "20"
     assert sized(session, 0, 50).conf.get("spark.sql.shuffle.partitions") == "100"
+
+
+def test_small_parts_bound_the_input_of_a_task(spark):
+    key, other = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, other_before = spark.conf.get(key), spark.conf.get(other)
+    try:
+        spark.conf.set(other, "1m")
+        with session.small_parts(spark):
+            with session.small_parts(spark):
+                assert int(spark.conf.get(key)) == session.MOST_BYTES[key]
+            assert int(spark.conf.get(key)) == session.MOST_BYTES[key]
+            assert spark.conf.get(other) == "1m"
+        assert spark.conf.get(key) == before
+    finally:
+        spark.conf.set(other, other_before)
