@@ -427,3 +427,11 @@ def test_a_window_is_read_in_batches_of_bounded_size(monkeypatch):
         sizes.append(batch.num_rows)
         most[0] = max(most[0], taken[0] - sum(sizes))
     assert sum(sizes) == 25_000 and max(sizes) <= paged.RECORDS_AT_ONCE and most[0] == 0
+
+
+def test_landed_records_are_compressed_in_small_files(spark, monkeypatch):
+    monkeypatch.setattr(landing, "RECORDS_A_FILE", 100)
+    path = landing.land(spark.range(0, 1000, 1, 2).selectExpr("to_json(struct(id)) AS value"), scratch_path(spark, "landing"))
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 10 and all(f.endswith(".gz") for f in files)
+    assert sorted(r.id for r in landing.read_landed(spark, path).collect()) == list(range(1000))
