@@ -240,19 +240,24 @@ def _shared_in_union(left: np.ndarray, right: np.ndarray, keep: int) -> int:
 
 
 def _met_before(value: int, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray | bool:
-    """Which pairs meet in a list of a smaller value, too."""
-    left, right = ([x[x < value] for x in side] for side in (left, right))
-    values, places = np.unique(np.concatenate((*left, *right)), return_inverse=True)
-    if not len(values):
+    """Which pairs meet in a list of a smaller value, too: of the values that both sides have, some at once."""
+    rows, values = zip(*((np.repeat(np.arange(len(side)), [len(x) for x in side]), np.concatenate(side))
+                         for side in (left, right)))
+    both = np.intersect1d(*values)
+    both = both[both < value]
+    if not len(both):
         return False
-    parts, first = [], 0
-    for side in (left, right):
-        sizes = [len(x) for x in side]
-        part = np.zeros((len(side), len(values)), np.float32)
-        part[np.repeat(np.arange(len(side)), sizes), places[first:first + sum(sizes)]] = 1
-        parts.append(part)
-        first += sum(sizes)
-    return parts[0] @ parts[1].T > 0
+    met = np.zeros((len(left), len(right)), bool)
+    for first in range(0, len(both), TILE):
+        some, parts = both[first:first + TILE], []
+        for side, row, own in zip((left, right), rows, values):
+            at = np.minimum(np.searchsorted(some, own), len(some) - 1)
+            inside = some[at] == own
+            part = np.zeros((len(side), len(some)), np.float32)
+            part[row[inside], at[inside]] = 1
+            parts.append(part)
+        met |= parts[0] @ parts[1].T > 0
+    return met
 
 
 TILE_ROWS = pa.schema([("value", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("node", pa.int64()),
@@ -299,7 +304,9 @@ def _forest_of_tile(words: int, percent: int):
     def run(rows: pa.Table) -> pa.Table:
         nodes, roots = (np.asarray(rows.column(c)) for c in ("node", "root"))
         order = np.argsort(nodes)
-        sets = list(_sets(*text_bytes(rows.column("text")), words))
+        data, offsets = text_bytes(rows.column("text"))
+        sets = [x for first, last in row_blocks(offsets)   # hashing takes many times the bytes of the texts
+                for x in _sets(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], words)]
         sizes = np.array([len(x) for x in sets])
         shingles, places = np.unique(np.concatenate(sets), return_inverse=True)
         parts = np.split(places, np.cumsum(sizes)[:-1])
@@ -361,10 +368,11 @@ def _similar_by_sketch(pairs: DataFrame, keep: int, percent: int) -> DataFrame:
 def _forest(parents: DataFrame) -> DataFrame:
     """Rows (root, up): the last of each root's line of parents, by doubling the step until none changes."""
     parents = written(parents, "parents")
+    roots = parents.count()
     while True:
         above = parents.select(F.col("root").alias("up"), F.col("up").alias("above"))
         parents = written(parents.join(above, "up", "left").select(
-            "root", F.coalesce("above", "up").alias("up"), F.col("above").isNotNull().alias("moved")), "parents")
+            "root", F.coalesce("above", "up").alias("up"), F.col("above").isNotNull().alias("moved")), "parents", roots)
         if not parents.agg(F.max("moved")).first()[0]:
             return parents.select("root", "up")
         parents = parents.select("root", "up")
@@ -404,7 +412,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
             F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
         .withColumn("need", _need(F.col("n"), keep, percent)).withColumn("node", F.monotonically_increasing_id()), "nodes")
     lists = written(overlap_lists(nodes, keep, percent), "lists")
-    listed = written(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "listed")
+    listed = nodes.join(lists.select("node").distinct(), "node", "left_semi")
 
     # The texts of the listed nodes, one for each set.
     wanted = listed.select("first_id").distinct()
@@ -425,11 +433,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
         return rows.mapInArrow(_verify(words, percent, kept), rows.select(kept).schema)
 
     # The first turn prefers the most common values; a parent comes before its child, so links are a forest.
-    weights = lists.groupBy("node").agg(F.max("common").alias("common"))
-    roots = written(weights.select("node", F.col("node").alias("root"), "common"), "roots")
+    # Before it each node is its own root, as the lists have it.
+    roots = lists.select("node", F.col("node").alias("root"), "common").distinct()
     for turn in range(HUB_ROUNDS):
         first = F.xxhash64("root", F.lit(turn)) if turn else -F.col("common")
-        at = written(lists.select("value", "node").join(roots, "node"), "lists")
+        at = (written(lists.select("value", "node").join(roots, "node"), "lists") if turn
+              else lists.withColumn("root", F.col("node")))
         pairs = _with_ends(_hub_pairs(at, [first.alias("key")]), ends, "n", "need", "sketch", "text")
         found = linked(_similar_by_sketch(pairs, keep, percent))
         tops = _forest(found.groupBy("root").agg(F.min("rank")["root"].alias("up")))

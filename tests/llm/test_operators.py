@@ -3,15 +3,18 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import plain
-from sondaflow.llm import bytegrams, chat, dedup, kneser, langid, mixing, packing, ppm, quality, queries, secrets, vafile
+from sondaflow.llm import bytegrams, chat, dedup, kneser, langid, mixing, packing, ppm, quality, queries, secrets, tables, vafile
+from sondaflow.llm.components import components
 from sondaflow.llm.words import word_hashes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -84,6 +87,47 @@ def test_groups_of_near_copies_and_a_common_passage(spark, monkeypatch, paired,
     assert {r.doc_id: r.component_id for r in found} == plain.components(sets)
 
 
+def test_small_tables_of_links_are_few_files(spark, tmp_path, monkeypatch):
+    """However many parts a shuffle has; a local file system may start a process for each file."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    pairs = [(k, k + 1) for k in range(200) if k % 20] + [(1000 + k, 1000) for k in range(1, 200)]
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            links = {r.u: r.v for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+            tops = {r.root: r.up for r in dedup._forest(spark.createDataFrame(pairs, "root long, up long")).collect()}
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+    assert links == {b: (a // 20 * 20 + 1 if a < 1000 else 1000) for p in pairs for a, b in [sorted(p)]}
+    assert tops == {a: (-(-a // 20) * 20 if a < 1000 else 1000) for a, _ in pairs}
+    # The first table of each is of unknown size, the others are not.
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in tmp_path.iterdir()}
+    assert sum(n > 1 for n in files.values()) == 2 and len(files) > 6
+
+
+def test_the_memory_of_a_tile_is_bounded(monkeypatch):
+    rng = np.random.default_rng(3)
+    sides = [[np.sort(rng.choice(20_000, 96, replace=False)) for _ in range(200)] for _ in range(2)]
+    expected = [[bool(np.any(np.isin(a, b) & (a < 10_000))) for b in sides[1]] for a in sides[0]]
+    tracemalloc.start()
+    assert dedup._met_before(10_000, *sides).tolist() == expected
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20      # 13 MB with all values at once
+    assert dedup._met_before(10, [np.arange(10, 20)], [np.arange(5, 30)]) is False
+
+    texts = [" ".join(f"w{k}x{n}" for n in range(300)) for k in range(2000)]
+    rows = pa.table({"node": range(2000), "root": range(2000), "text": texts, "others": [[], *([k] for k in range(1999))]})
+    size = sum(map(len, texts))
+    tracemalloc.reset_peak()
+    assert dedup._forest_of_tile(5, 80)(rows).num_rows == 0
+    assert tracemalloc.get_traced_memory()[1] < 25 * size
+    tracemalloc.stop()
+
+
 def test_sets_at_the_limit_share_enough_values():
     needs = dedup.needed(64, 80)
     assert needs[:11] == [-(-8 * n // 10) for n in range(11)] and needs[-1] == min(needs[60:])
